@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEXICON_SCHEMA = "token string, valence double"
-LEMMA_SCHEMA = "token string, lemma string"
 
 SEED_LEXICON = [
     ("love", 3.2),
@@ -102,8 +101,14 @@ SEED_EMOJI = {
 }
 
 
+def _rows(spark: SparkSession, rows: list[tuple], *names: str) -> DataFrame:
+    """A short local relation, whose size the optimizer knows."""
+    literal = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows])
+    return spark.range(1).select(F.inline(literal))
+
+
 def seed_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEED_LEXICON, LEXICON_SCHEMA)
+    return _rows(spark, SEED_LEXICON, "token", "valence")
 
 
 def load_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -122,11 +127,11 @@ def load_words(spark: SparkSession, path: str) -> DataFrame:
 
 
 def seed_nouns(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in SEED_NOUNS], "token string")
+    return _rows(spark, [(w,) for w in SEED_NOUNS], "token")
 
 
 def seed_irregular(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEED_IRREGULAR, LEMMA_SCHEMA)
+    return _rows(spark, SEED_IRREGULAR, "token", "lemma")
 
 
 def default_stopwords() -> list[str]:

@@ -44,10 +44,11 @@ def first_arrivals(df: DataFrame) -> DataFrame:
     row, so an id that makes up a third of the input does not land in one task.
     The result is hash partitioned by ``tweet_id``.
     """
+    others = [c for c in df.columns if c != "tweet_id"]
     return (
         df.groupBy("tweet_id")
-        .agg(F.min_by(F.struct(*df.columns), F.col("arrival_seq")).alias("row"))
-        .select("row.*")
+        .agg(F.min_by(F.struct(*others), F.col("arrival_seq")).alias("row"))
+        .select(*[F.col("tweet_id") if c == "tweet_id" else F.col(f"row.{c}") for c in df.columns])
     )
 
 

@@ -83,13 +83,8 @@ def punctuation_emphasis(text: Column) -> Column:
 
 def _lookup(phrase: Column, values: Mapping[str, float]) -> Column:
     """Value of a phrase in a short fixed mapping, else null."""
-    by_value: dict[float, list[str]] = {}
-    for key, value in values.items():
-        by_value.setdefault(value, []).append(key)
-    return F.coalesce(
-        F.lit(None).cast("double"),
-        *[F.when(phrase.isin(keys), F.lit(float(value))) for value, keys in by_value.items()],
-    )
+    entries = F.create_map(*[F.lit(x) for k, v in values.items() for x in (k, float(v))])
+    return F.element_at(entries, phrase)
 
 
 def word_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,7 +129,11 @@ def _valence(
     negations: Sequence[str],
     idioms: Mapping[str, float],
 ) -> DataFrame:
-    """Value ``v`` of each lexicon word in context; other words but the first are dropped."""
+    """Value ``v`` of each lexicon word in context; other words but the first are dropped.
+
+    The lower-casing by ``transform`` also ends the generated stage that explodes
+    and joins, so that its loop stays small enough to be compiled to machine code.
+    """
 
     def valence_of(name: str) -> DataFrame:
         return lexicon.select(F.col("token").alias(name), F.col("valence").alias(f"{name}_valence"))
@@ -143,68 +142,73 @@ def _valence(
         rows.withColumn("item", F.lower("word"))
         .join(valence_of("item"), "item", "left")
         .where(F.col("item_valence").isNotNull() | F.coalesce("pos", F.lit(0)).eqNullSafe(0))
-        .withColumns(
-            {name: F.lower(col) for name, col in
-             [("b1", "back1"), ("b2", "back2"), ("b3", "back3"), ("n1", "next1"), ("n2", "next2")]}
+        .withColumn(
+            "around", F.transform(F.array("back1", "back2", "back3", "next1", "next2"), F.lower)
         )
+        .withColumns({name: F.col("around")[i] for i, name in enumerate(("b1", "b2", "b3", "n1", "n2"))})
     )
     for name in ("b1", "b2", "b3", "n1"):
         hits = hits.join(valence_of(name), name, "left")
 
-    item, pos, v = F.col("item"), F.col("pos"), F.col("v")
-    base = F.col("item_valence")
+    item, pos, v, mixed = F.col("item"), F.col("pos"), F.col("v"), F.col("mixed_case")
     b1, b2, b3, n1, n2 = (F.coalesce(name, F.lit("")) for name in ("b1", "b2", "b3", "n1", "n2"))
-    factor = F.lit(NEGATION_FACTOR)
-
-    def signed(amount: Column) -> Column:
-        return F.when(v > 0, amount).otherwise(-amount)
-
-    skipped = _lookup(item, boosters).isNotNull() | ((item == "kind") & (n1 == "of"))
     after_no = (b1 == "no") | (b2 == "no") | ((b3 == "no") & b1.isin("or", "nor"))
     silent_no = (item == "no") & F.col("n1_valence").isNotNull()
+    caps = F.when(mixed & _is_upper(F.col("word")), F.lit(CAPS_INCREASE)).otherwise(0.0)
     hits = hits.withColumn(
-        "v", F.when(after_no, base * factor).when(silent_no, F.lit(0.0)).otherwise(base)
-    )
-    caps = F.lit(CAPS_INCREASE)
-    hits = hits.withColumn(
-        "v", F.when(F.col("mixed_case") & _is_upper(F.col("word")), v + signed(caps)).otherwise(v)
-    )
+        "v",
+        F.when(after_no, F.col("item_valence") * NEGATION_FACTOR)
+        .when(silent_no, 0.0)
+        .otherwise(F.col("item_valence")),
+    ).withColumn("v", v + F.when(v > 0, caps).otherwise(-caps))
 
-    def negates(word: Column) -> Column:
-        return word.isin(list(negations)) | word.contains("n't")
+    def negation(word: Column) -> Column:
+        negates = word.isin(list(negations)) | word.contains("n't")
+        return F.when(negates, NEGATION_FACTOR).otherwise(1.0)
 
     excites = ["so", "this"]
-    context = {
-        1: F.when(negates(b1), v * factor),
-        2: F.when((b2 == "never") & b1.isin(excites), v * EXCITE)
-        .when((b2 == "without") & (b1 == "doubt"), v)
-        .when(negates(b2), v * factor),
-        3: F.when(((b3 == "never") & b2.isin(excites)) | b1.isin(excites), v * EXCITE)
-        .when((b3 == "without") & ((b2 == "doubt") | (b1 == "doubt")), v)
-        .when(negates(b3), v * factor),
+    factors = {
+        1: negation(b1),
+        2: F.when((b2 == "never") & b1.isin(excites), EXCITE)
+        .when((b2 == "without") & (b1 == "doubt"), 1.0)
+        .otherwise(negation(b2)),
+        3: F.when(((b3 == "never") & b2.isin(excites)) | b1.isin(excites), EXCITE)
+        .when((b3 == "without") & ((b2 == "doubt") | (b1 == "doubt")), 1.0)
+        .otherwise(negation(b3)),
     }
-    for d, back in enumerate((b1, b2, b3), start=1):
-        reaches = (pos >= d) & F.col(f"b{d}_valence").isNull()
-        scalar = _lookup(back, boosters)
-        boost = F.when(v < 0, -scalar).otherwise(scalar)
-        shouted = F.col("mixed_case") & _is_upper(F.col(f"back{d}"))
-        boost = F.when(shouted, boost + signed(caps)).otherwise(boost) * F.lit(DISTANCE_WEIGHT[d])
-        hits = hits.withColumn("v", F.when(reaches & scalar.isNotNull(), v + boost).otherwise(v))
-        hits = hits.withColumn("v", F.when(reaches, context[d].otherwise(v)).otherwise(v))
-    hits = hits.withColumn(
-        "v", F.when(reaches, _idiom_value(v, item, b1, b2, b3, n1, n2, boosters, idioms)).otherwise(v)
-    )
+    reaches = {d: (pos >= d) & F.col(f"b{d}_valence").isNull() for d in factors}
+    back_steps = [
+        F.struct(
+            F.coalesce(F.when(reaches[d], _lookup(word, boosters)), F.lit(0.0)).alias("scalar"),
+            F.when(mixed & _is_upper(F.col(f"back{d}")), F.lit(CAPS_INCREASE)).otherwise(0.0).alias("caps"),
+            F.lit(DISTANCE_WEIGHT[d]).alias("weight"),
+            F.when(reaches[d], factors[d]).otherwise(1.0).alias("factor"),
+        )
+        for d, word in ((1, b1), (2, b2), (3, b3))
+    ]
+
+    def one_step_back(value: Column, step: Column) -> Column:
+        boost = F.when(value < 0, -step["scalar"]).otherwise(step["scalar"])
+        shout = F.when(value > 0, step["caps"]).otherwise(-step["caps"])
+        raised = F.when(step["scalar"] == 0, value).otherwise(value + (boost + shout) * step["weight"])
+        return raised * step["factor"]
+
+    hits = hits.withColumn("v", F.aggregate(F.array(*back_steps), v, one_step_back))
+    in_idiom = _idiom_value(v, item, b1, b2, b3, n1, n2, boosters, idioms)
+    hits = hits.withColumn("v", F.when(reaches[3], in_idiom).otherwise(v))
 
     least = (b1 == "least") & F.col("b1_valence").isNull()
     least = least & ((pos == 1) | ~b2.isin("at", "very"))
-    hits = hits.withColumn("v", F.when(least, v * factor).otherwise(v))
     but_at = F.col("but_at")
-    weighted = (
-        F.when((but_at >= 0) & (pos < but_at), v * BUT_BEFORE)
-        .when((but_at >= 0) & (pos > but_at), v * BUT_AFTER)
-        .otherwise(v)
+    skipped = _lookup(item, boosters).isNotNull() | ((item == "kind") & (n1 == "of"))
+    weight = (
+        F.when(F.col("item_valence").isNull() | skipped, 0.0)
+        .when((but_at >= 0) & (pos < but_at), BUT_BEFORE)
+        .when((but_at >= 0) & (pos > but_at), BUT_AFTER)
+        .otherwise(1.0)
     )
-    return hits.withColumn("v", F.when(base.isNull() | skipped, F.lit(0.0)).otherwise(weighted))
+    weighted = v * F.when(least, NEGATION_FACTOR).otherwise(1.0) * weight
+    return hits.withColumn("v", F.coalesce(weighted, F.lit(0.0)))
 
 
 def _idiom_value(v, item, b1, b2, b3, n1, n2, boosters, idioms) -> Column:

@@ -57,7 +57,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; larger tables join by shuffle (AQE splits skew)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
+    """Hint a broadcast only after counting; larger tables join by shuffle (AQE splits skew).
+
+    The dictionary stays cached, as it is read several times.
+    """
+    cached = df.persist()
+    if cached.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
     return df
