@@ -115,22 +115,26 @@ def with_term_counts(df: DataFrame, terms_col: str = "terms", out: str = "term_c
 
     Works inside the row: sort, find where each run of equal terms starts, and
     take the distance to the next start. Counting by (row, term) would shuffle
-    every term of the corpus instead.
+    every term of the corpus instead. Explode the result with ``inline_outer``:
+    the inner form infers a filter on it, which would compute it once more.
     """
     n = F.size("_sorted")
-    starts = F.filter(
-        F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")),
-        lambda i: (i == 1) | (F.col("_sorted")[i - 1] != F.col("_sorted")[i - 2]),
+    numbered = F.arrays_zip(
+        F.col("_sorted").alias("term"),
+        F.slice(F.concat(F.array(F.lit(None).cast("string")), "_sorted"), F.lit(1), n).alias("before"),
+        F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")).alias("at"),
     )
-    ends = F.concat(F.slice("_starts", F.lit(2), F.size("_starts")), F.array(n + 1))
+    starts = F.filter("_numbered", lambda t: ~t["term"].eqNullSafe(t["before"]))
+    next_at = F.concat(F.slice("_starts.at", F.lit(2), F.size("_starts")), F.array(F.size("_numbered") + 1))
     counts = F.zip_with(
         F.col("_starts"),
-        F.slice(ends, F.lit(1), F.size("_starts")),
-        lambda a, b: F.struct(F.col("_sorted")[a - 1].alias("term"), (b - a).alias("tf")),
+        F.slice(next_at, F.lit(1), F.size("_starts")),
+        lambda start, end: F.struct(start["term"].alias("term"), (end - start["at"]).alias("tf")),
     )
     return (
         df.withColumn("_sorted", F.sort_array(terms_col))
+        .withColumn("_numbered", numbered)
         .withColumn("_starts", starts)
         .withColumn(out, counts)
-        .drop("_sorted", "_starts")
+        .drop("_sorted", "_numbered", "_starts")
     )

@@ -41,9 +41,10 @@ def vocabulary(terms: DataFrame, params: TfidfParams = DEFAULTS) -> DataFrame:
     """
     n_docs = terms.agg(F.count(F.lit(1))).scalar()
     counts = (
-        terms.select(F.explode("term_counts").alias("t"))
-        .groupBy(F.col("t.term").alias("term"))
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("t.tf").alias("cf"))
+        terms.select(F.inline_outer("term_counts"))
+        .where(F.col("term").isNotNull())
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
         .where(F.col("df") >= params.min_df)
     )
     kept = (
@@ -67,7 +68,7 @@ def require_terms(vocab: DataFrame) -> DataFrame:
 
 def _raw_weights(terms: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     return (
-        terms.select(id_col, F.inline("term_counts"))
+        terms.select(id_col, F.inline_outer("term_counts"))
         .join(F.broadcast(vocab.select("term", "idx", "idf")), "term")
         .select(id_col, "term", "idx", ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("weight"))
     )

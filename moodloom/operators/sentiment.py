@@ -15,7 +15,8 @@ them by value.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,10 +82,13 @@ def punctuation_emphasis(text: Column) -> Column:
     return marks + questions
 
 
-def _lookup(phrase: Column, values: Mapping[str, float]) -> Column:
-    """Value of a phrase in a short fixed mapping, else null."""
-    entries = F.create_map(*[F.lit(x) for k, v in values.items() for x in (k, float(v))])
-    return F.element_at(entries, phrase)
+def _lookup_in(values: Mapping[str, float]) -> Callable[[Column], Column]:
+    """Value of a phrase in a short fixed mapping, else null.
+
+    The mapping travels as one JSON literal, which the optimizer folds to a map.
+    """
+    entries = F.from_json(F.lit(json.dumps(values)), "map<string,double>")
+    return lambda phrase: F.element_at(entries, phrase)
 
 
 def word_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -150,6 +154,7 @@ def _valence(
     for name in ("b1", "b2", "b3", "n1"):
         hits = hits.join(valence_of(name), name, "left")
 
+    booster_of = _lookup_in(boosters)
     item, pos, v, mixed = F.col("item"), F.col("pos"), F.col("v"), F.col("mixed_case")
     b1, b2, b3, n1, n2 = (F.coalesce(name, F.lit("")) for name in ("b1", "b2", "b3", "n1", "n2"))
     after_no = (b1 == "no") | (b2 == "no") | ((b3 == "no") & b1.isin("or", "nor"))
@@ -162,9 +167,10 @@ def _valence(
         .otherwise(F.col("item_valence")),
     ).withColumn("v", v + F.when(v > 0, caps).otherwise(-caps))
 
+    listed = _lookup_in(dict.fromkeys(negations, NEGATION_FACTOR))
+
     def negation(word: Column) -> Column:
-        negates = word.isin(list(negations)) | word.contains("n't")
-        return F.when(negates, NEGATION_FACTOR).otherwise(1.0)
+        return F.when(word.contains("n't"), NEGATION_FACTOR).otherwise(F.coalesce(listed(word), F.lit(1.0)))
 
     excites = ["so", "this"]
     factors = {
@@ -179,7 +185,7 @@ def _valence(
     reaches = {d: (pos >= d) & F.col(f"b{d}_valence").isNull() for d in factors}
     back_steps = [
         F.struct(
-            F.coalesce(F.when(reaches[d], _lookup(word, boosters)), F.lit(0.0)).alias("scalar"),
+            F.coalesce(F.when(reaches[d], booster_of(word)), F.lit(0.0)).alias("scalar"),
             F.when(mixed & _is_upper(F.col(f"back{d}")), F.lit(CAPS_INCREASE)).otherwise(0.0).alias("caps"),
             F.lit(DISTANCE_WEIGHT[d]).alias("weight"),
             F.when(reaches[d], factors[d]).otherwise(1.0).alias("factor"),
@@ -194,13 +200,13 @@ def _valence(
         return raised * step["factor"]
 
     hits = hits.withColumn("v", F.aggregate(F.array(*back_steps), v, one_step_back))
-    in_idiom = _idiom_value(v, item, b1, b2, b3, n1, n2, boosters, idioms)
+    in_idiom = _idiom_value(v, item, b1, b2, b3, n1, n2, booster_of, _lookup_in(idioms))
     hits = hits.withColumn("v", F.when(reaches[3], in_idiom).otherwise(v))
 
     least = (b1 == "least") & F.col("b1_valence").isNull()
     least = least & ((pos == 1) | ~b2.isin("at", "very"))
     but_at = F.col("but_at")
-    skipped = _lookup(item, boosters).isNotNull() | ((item == "kind") & (n1 == "of"))
+    skipped = booster_of(item).isNotNull() | ((item == "kind") & (n1 == "of"))
     weight = (
         F.when(F.col("item_valence").isNull() | skipped, 0.0)
         .when((but_at >= 0) & (pos < but_at), BUT_BEFORE)
@@ -211,19 +217,19 @@ def _valence(
     return hits.withColumn("v", F.coalesce(weighted, F.lit(0.0)))
 
 
-def _idiom_value(v, item, b1, b2, b3, n1, n2, boosters, idioms) -> Column:
+def _idiom_value(v, item, b1, b2, b3, n1, n2, booster_of, idiom_of) -> Column:
     """Multi-word expressions around a word: they replace its value; two-word dampeners add."""
 
     def phrase(*words: Column) -> Column:
         return F.concat_ws(" ", *words)
 
     three_back, two_first, two_back = phrase(b3, b2, b1), phrase(b3, b2), phrase(b2, b1)
-    behind = [_lookup(p, idioms) for p in
+    behind = [idiom_of(p) for p in
               (phrase(b1, item), phrase(b2, b1, item), two_back, three_back, two_first)]
-    ahead = [_lookup(phrase(item, n1, n2), idioms), _lookup(phrase(item, n1), idioms)]
+    ahead = [idiom_of(phrase(item, n1, n2)), idiom_of(phrase(item, n1))]
     value = F.coalesce(*ahead, *behind, v)
     for p in (three_back, two_first, two_back):
-        value = value + F.coalesce(_lookup(p, boosters), F.lit(0.0))
+        value = value + F.coalesce(booster_of(p), F.lit(0.0))
     return value
 
 
