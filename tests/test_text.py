@@ -1,0 +1,118 @@
+from datetime import datetime
+
+import pytest
+from pyspark.ml.feature import StopWordsRemover
+from pyspark.sql import functions as F
+
+from moodloom.functions import dictionaries as words
+from moodloom.functions import text as tx
+from moodloom.functions.dates import with_time_columns
+from moodloom.operators.preprocess import lemma_table, lemmatize, preprocess, seed_lemmas
+
+
+def apply(spark, function, values):
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, x string")
+    return [r.y for r in rows.select("i", function(F.col("x")).alias("y")).orderBy("i").collect()]
+
+
+def test_clean_text(spark):
+    cases = {
+        "seehttps://t.co/x1 now": "see now",
+        "www.é.com go": "go",
+        "hi @é_x!": "hi",
+        "#ß-½ ok": "ß ½ ok",
+        "a &amp; b &lt; &quot;": "a b quot",
+        "a　b\u001cc": "a b c",
+        "": "",
+        "?!...": "",
+        "don't stop_it 😀!!!": "don't stop_it",
+        None: "",
+    }
+    assert apply(spark, tx.clean_text, cases.keys()) == list(cases.values())
+
+
+def test_clean_text_is_idempotent(spark):
+    once = apply(spark, tx.clean_text, ["RT @a: #b &amp; c'd http://x  😀", "ÀÉ_ß  ½ x"])
+    assert apply(spark, tx.clean_text, once) == once
+
+
+def test_tokenize(spark):
+    cases = {
+        "Soooooo GREAT": ["sooo", "great"],
+        "SOooo": ["soooo"],
+        "don't rock 'n' roll": ["don't", "rock", "'", "n", "'", "roll"],
+        "ab1 abc1 x_y": ["ab1", "abc", "1", "x_y"],
+        "call 1 555 123 4567 now": ["call", "1 555 123 4567", "now"],
+        "8D D8x": ["8D", "D8", "x"],
+        "İX": ["i̇x"],
+        "": [],
+    }
+    assert apply(spark, tx.tokenize, cases.keys()) == list(cases.values())
+
+
+def test_long_token_does_not_overflow(spark):
+    assert apply(spark, tx.tokenize, ["ab'" * 50_000 + "c"]) == [["ab'" * 50_000 + "c"]]
+
+
+def test_stopwords_drop_short_kept_words(spark):
+    assert len(words.ENGLISH_STOPWORDS) == 181
+    assert words.ENGLISH_STOPWORDS == StopWordsRemover.loadDefaultStopWords("english")
+    stop = words.default_stopwords()
+    kept = apply(
+        spark, lambda c: tx.remove_stopwords(F.split(c, " "), stop), ["no not never very but the is cat ox"]
+    )
+    assert kept == [["not", "never", "very", "but", "cat"]]
+
+
+def test_word_count(spark):
+    assert apply(spark, tx.word_count, ["", "a", "a b c"]) == [0, 1, 3]
+
+
+def test_terms_and_counts(spark):
+    df = spark.createDataFrame([(1, "Don't a bb cc bb cc"), (2, ""), (3, "solo")], "id int, x string")
+    rows = tx.with_term_counts(tx.with_terms(df, "x")).orderBy("id").collect()
+    assert rows[0].terms == ["don", "bb", "cc", "bb", "cc", "don bb", "bb cc", "cc bb", "bb cc"]
+    assert {t.term: t.tf for t in rows[0].term_counts} == {
+        "don": 1, "bb": 2, "cc": 2, "don bb": 1, "bb cc": 2, "cc bb": 1,
+    }
+    assert rows[1].term_counts == []
+    assert [tuple(t) for t in rows[2].term_counts] == [("solo", 1)]
+
+
+def test_lemma_rules(spark):
+    nouns = spark.createDataFrame(
+        [(w,) for w in ["goal", "policy", "half", "church", "man", "glass", "news", "bus"]], "token string"
+    )
+    irregular = spark.createDataFrame([("mice", "mouse")], "token string, lemma string")
+    tokens = ["goals", "policies", "halves", "churches", "men", "glasses", "news", "buses", "mice", "xyzs"]
+    df = spark.createDataFrame([("a", tokens), ("b", []), ("c", ["none"])], "id string, tokens array<string>")
+    rows = lemmatize(df, lemma_table(nouns, irregular), "id").orderBy("id").collect()
+    assert rows[0].tokens == [
+        "goal", "policy", "half", "church", "man", "glass", "news", "bus", "mouse", "xyzs",
+    ]
+    assert rows[1].tokens == [] and rows[2].tokens == ["none"]
+
+
+def test_preprocess_keeps_three_words(spark):
+    df = spark.createDataFrame(
+        [("1", "the cat"), ("2", "cat dogs"), ("3", "cats, goals & news!"), ("4", None)],
+        "tweet_id string, text string",
+    )
+    rows = preprocess(df, seed_lemmas(spark)).collect()
+    assert [(r.tweet_id, r.processed_text, r.word_count, r.text_length) for r in rows] == [
+        ("3", "cats goal news", 3, len("cats goals news"))
+    ]
+    assert preprocess(df, seed_lemmas(spark), min_words=None).count() == 4
+
+
+@pytest.mark.parametrize("hour", [0, 23])
+def test_time_columns_match_strftime(spark, hour):
+    days = [datetime(y, m, d, hour, 5) for y in range(2014, 2027) for m, d in [(1, 1), (12, 31)]]
+    days += [datetime(2023, 1, d, hour) for d in range(1, 9)] + [datetime(2024, 2, 29, hour)]
+    df = spark.createDataFrame([(d,) for d in days], "created_at timestamp_ntz")
+    for r in with_time_columns(df.select(F.col("created_at").cast("timestamp"))).collect():
+        t = r.created_at
+        assert (r.week, r.month, r.day_of_week) == (
+            t.strftime("%Y-W%U"), t.strftime("%Y-%m"), t.strftime("%A"),
+        )
+        assert (r.date, r.hour_of_day) == (t.date(), hour)
