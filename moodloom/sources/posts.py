@@ -3,7 +3,8 @@
 Every event is a post. Its wording (retweet mark, opinion, subject, decoration)
 follows from its numbers, and a document whose id equals the event id adds its
 whole text and its language; other posts come without a language. Every event
-and every whole document is used once.
+and every whole document is used once. Both tables grow with the data, so the
+join is by shuffle, which also spreads the texts over all tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 POSTS_SQL = """
-SELECT e.event_id AS arrival_seq,
+SELECT /*+ MERGE(d) */ e.event_id AS arrival_seq,
  CAST(CASE WHEN e.event_id % 50 = 49 THEN e.event_id - 1 ELSE e.event_id END AS VARCHAR(20)) AS tweet_id,
  'u' || CAST(e.user_id AS VARCHAR(20)) AS username,
  CASE WHEN e.event_id % 17 = 0 THEN 'RT ' ELSE '' END ||
