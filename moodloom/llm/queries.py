@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.llm import sharding, url_filter
+from moodloom.llm import language_id, sharding, token_counts, url_filter
+from moodloom.llm.common import fold
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 TABLE_SIZE = 4_093
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_url_filter(spark, sf_dir):
     """The list: pages whose id carries a toxic label. Every page with such a URL is blocked."""
     pages = table(spark, sf_dir, "pages")
@@ -28,7 +38,14 @@ def op5_sharding(spark, sf_dir):
     return sharding.place(docs, "doc_id", SHARDS, TABLE_SIZE).select("doc_id", "slot", "shard")
 
 
+def op9_token_counts(spark, sf_dir, model_file=PIECES):
+    automaton = token_counts.build(token_counts.load_pieces(model_file))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), automaton)
+
+
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
+    "op9_token_counts": op9_token_counts,
 }
