@@ -68,4 +68,31 @@ JOIN turns t ON t.slot = {_hash("coalesce(CAST(doc_id AS VARCHAR), '')")} % {TAB
 JOIN names ON names.i = t.shard
 """
 
-ORACLES = {"op4_url_filter": URL_FILTER, "op5_sharding": SHARDING}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+DECONTAMINATE = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS gram
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, n, item_id FROM grams JOIN windows USING (n, gram)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {"op8_decontaminate": DECONTAMINATE, "op4_url_filter": URL_FILTER, "op5_sharding": SHARDING}

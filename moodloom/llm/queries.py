@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.llm import language_id, sharding, token_counts, url_filter
+from moodloom.llm import decontaminate, language_id, line_dedup, sharding, token_counts, url_filter
 from moodloom.llm.common import fold
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -38,14 +38,26 @@ def op5_sharding(spark, sf_dir):
     return sharding.place(docs, "doc_id", SHARDS, TABLE_SIZE).select("doc_id", "slot", "shard")
 
 
+def op8_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("ver")
+
+
 def op9_token_counts(spark, sf_dir, model_file=PIECES):
     automaton = token_counts.build(token_counts.load_pieces(model_file))
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), automaton)
 
 
+def op10_line_dedup(spark, sf_dir):
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_deleted", "n_chars", F.md5("text").alias("text_md5"))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
+    "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
+    "op10_line_dedup": op10_line_dedup,
 }
