@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.llm import decontaminate, language_id, line_dedup, sharding, token_counts, url_filter
+from moodloom.llm import decontaminate, jaccard_join, language_id, line_dedup, sharding, token_counts, url_filter
 from moodloom.llm.common import fold
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -38,6 +38,10 @@ def op5_sharding(spark, sf_dir):
     return sharding.place(docs, "doc_id", SHARDS, TABLE_SIZE).select("doc_id", "slot", "shard")
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("ver")
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
