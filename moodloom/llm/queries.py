@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.llm import decontaminate, jaccard_join, language_id, line_dedup, sharding, token_counts, url_filter
+from moodloom.llm import (
+    decontaminate,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    lm_score,
+    sentence_pieces,
+    sharding,
+    token_counts,
+    url_filter,
+)
 from moodloom.llm.common import fold
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -17,6 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentence_pieces(spark, sf_dir, model_file=PIECES):
+    """Best and next segmentations of whole texts, and whether the best decodes to the text."""
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = sentence_pieces.load_vocabulary(model_file)
+    encoded = sentence_pieces.encode(docs.select("doc_id", "text"), vocabulary)
+    texts = sentence_pieces.decode(encoded.withColumn("n_best", F.size("others") + 1), vocabulary)
+    return texts.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "score",
+        F.get("others", F.lit(0))["score"].alias("score_2"),
+        F.get("others", F.lit(1))["score"].alias("score_3"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.md5("decoded").alias("decoded_md5"),
+    )
+
+
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -25,6 +52,10 @@ def op2_language_id(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_lm_score(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark, sf_dir):
     """The list: pages whose id carries a toxic label. Every page with such a URL is blocked."""
     pages = table(spark, sf_dir, "pages")
@@ -58,7 +89,9 @@ def op10_line_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_sentence_pieces": op1_sentence_pieces,
     "op2_language_id": op2_language_id,
+    "op3_lm_score": op3_lm_score,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
