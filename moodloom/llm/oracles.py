@@ -111,4 +111,21 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id))
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY 1) USING (doc_id)
 """
 
-ORACLES = {"op6_jaccard_join": JACCARD, "op8_decontaminate": DECONTAMINATE, "op4_url_filter": URL_FILTER, "op5_sharding": SHARDING}
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1),
+m AS (SELECT a AS vec_id, min(b) AS m FROM reach GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id,
+  vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)
+"""
+
+ORACLES = {"op7_embedding_dedup": EMBEDDINGS, "op6_jaccard_join": JACCARD, "op8_decontaminate": DECONTAMINATE, "op4_url_filter": URL_FILTER, "op5_sharding": SHARDING}

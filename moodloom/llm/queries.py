@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moodloom.llm import (
     decontaminate,
+    embedding_dedup,
     jaccard_join,
     language_id,
     line_dedup,
@@ -73,6 +74,10 @@ def op6_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).drop("ver")
@@ -95,6 +100,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,

@@ -52,8 +52,9 @@ class Vocabulary:
 
     @property
     def unknown_score(self) -> float:
-        """Below all single characters."""
-        return min((self.scores[i] for p, i in self.pieces.items() if len(p) == 1), default=0.0) - UNKNOWN_PENALTY
+        """Below all single characters but the space."""
+        single = [self.scores[i] for p, i in self.pieces.items() if len(p) == 1 and p != " "]
+        return min(single, default=0.0) - UNKNOWN_PENALTY
 
 
 def load_vocabulary(model_file: str) -> Vocabulary:
