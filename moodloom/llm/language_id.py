@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodloom.llm.arrow_text import text_bytes
 
@@ -180,38 +181,45 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> ByteCnn | No
     return train(texts, langs) if texts else None
 
 
-def predict(docs: DataFrame, model: ByteCnn | None, id_col: str = "doc_id") -> DataFrame:
-    """(id, lang_pred, score): the likeliest language of each whole text and its probability.
+def annotate(docs: DataFrame, model: ByteCnn | None) -> DataFrame:
+    """All rows and columns of ``docs`` with ``lang_pred`` and ``score``: the likeliest language of each
+    whole text and its probability.
 
     A text that is null, or has no letter, or meets no model is ``und`` with score 0. Repeated
-    rows are judged one by one, ties go to the first language by name, other columns are
-    ignored, and an empty table gives an empty result.
+    rows are judged one by one, ties go to the first language by name, columns named like
+    the new ones are replaced, and an empty table gives an empty result.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
-    kept = docs.select(F.col(id_col), F.when(has_letters(F.col("text")), F.col("text")).alias("text"))
-    schema = f"`{id_col}` {id_type}, lang_pred string, score double"
+    kept = docs.drop("lang_pred", "score")
     if model is None:
-        return kept.select(id_col, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return kept.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([*kept.schema.fields, *fields])
+    names = schema.fieldNames()
+    text, width = names.index("text"), len(kept.columns)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.pair_tables()
-        names = np.array(model.langs, dtype=object)
+        langs = np.array(model.langs, dtype=object)
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500)
-                column = part.column(1)
-                windows, owner, weight = cut_windows(*text_bytes(column))
+                windows, owner, weight = cut_windows(*text_bytes(part.column(text)))
                 found = model.probabilities(windows, tables) * weight[:, None]
-                sums = np.zeros((part.num_rows, len(names)))
+                sums = np.zeros((part.num_rows, len(langs)))
                 np.add.at(sums, owner, found)
                 sums /= sums.sum(axis=1, keepdims=True)
                 best = sums.argmax(axis=1)
-                known = np.asarray(column.is_valid())
-                lang = np.where(known, names[best], UNKNOWN)
+                known = np.asarray(part.column(width))
+                lang = np.where(known, langs[best], UNKNOWN)
                 score = np.where(known, sums[np.arange(len(best)), best], 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lang, pa.string()), pa.array(np.clip(score, 0.0, 1.0))],
-                    names=[id_col, "lang_pred", "score"],
+                    [*part.columns[:width], pa.array(lang, pa.string()), pa.array(np.clip(score, 0.0, 1.0))],
+                    names=names,
                 )
 
-    return kept.mapInArrow(judge, schema)
+    return kept.withColumn("_letters", has_letters(F.col("text"))).mapInArrow(judge, schema)
+
+
+def predict(docs: DataFrame, model: ByteCnn | None, id_col: str = "doc_id") -> DataFrame:
+    """(id, lang_pred, score) of each row, as ``annotate`` gives them; other columns are ignored."""
+    return annotate(docs.select(id_col, "text"), model).drop("text")
