@@ -63,7 +63,8 @@ def line_runs(docs: DataFrame, id_col: str, min_words: int) -> DataFrame:
                 owner, seqs, names, runs = [], [], [], []
                 for row, text in enumerate(part.column(2).to_pylist()):
                     lines, counts, places = [], [], []
-                    for place, line in enumerate(text.split("\n")):
+                    every = text.split("\n")
+                    for place, line in enumerate(every):
                         n = len(line.split())
                         if n:
                             lines.append(xxhash.xxh3_128_digest(line.strip().encode()))
@@ -71,13 +72,14 @@ def line_runs(docs: DataFrame, id_col: str, min_words: int) -> DataFrame:
                             places.append(place)
                     if not lines:
                         continue
+                    places.append(len(every))
                     last, first = _min_runs(np.array(counts), min_words)
                     for i, (end, start) in enumerate(zip(last.tolist(), first.tolist())):
                         found = []
                         if end < len(lines):
-                            found.append((i, end - i + 1, places[i], places[end]))
+                            found.append((i, end - i + 1, places[i], places[end + 1] - 1))
                         if start >= 0 and last[start] != i:
-                            found.append((start, i - start + 1, places[start], places[i]))
+                            found.append((start, i - start + 1, places[start], places[i + 1] - 1))
                         runs.append([dict(zip(("seq", "m", "first", "last"), f)) for f in found])
                     owner += [row] * len(lines)
                     seqs += range(len(lines))
@@ -162,8 +164,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", min_words: int = MIN_WO
     Adds ``n_lines`` (of the input, blank ones included) and ``n_deleted``; these and, where
     present, ``n_chars`` are set anew. The order of documents is that of the id, then of a hash
     of the text; a null id comes first. Null texts stay null, with 0 lines. A text without a run
-    of ``min_words`` words, an empty one too, is never changed. Blank lines between deleted
-    lines go with them. The same row (id and text) twice is one document: both copies are
+    of ``min_words`` words, an empty one too, is never changed. Blank lines after a deleted
+    line go with it. The same row (id and text) twice is one document: both copies are
     changed alike. Other columns pass through; an empty table gives an empty result.
     """
     deleted = repeated_lines(docs, id_col, min_words)

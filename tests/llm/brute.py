@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def repeated_lines(docs: dict[int, str | None], min_words: int) -> dict[int, set[int]]:
-    """Lines inside a run of min_words words that has an earlier copy which does not overlap it."""
+    """Lines inside a run of min_words words that has an earlier copy which does not overlap it, and blank lines after them."""
     seqs = {}
     for doc in sorted(docs):
         lines = (docs[doc] or "").split("\n")
@@ -24,8 +24,9 @@ def repeated_lines(docs: dict[int, str | None], min_words: int) -> dict[int, set
     for doc, a, b, key in runs:
         first_doc, first = seen[key]
         if first_doc != doc or first + (b - a + 1) <= a:
-            low, high = seqs[doc][a][0], seqs[doc][b][0]
-            deleted.setdefault(doc, set()).update(range(low, high + 1))
+            low = seqs[doc][a][0]
+            high = seqs[doc][b + 1][0] if b + 1 < len(seqs[doc]) else len(docs[doc].split("\n"))
+            deleted.setdefault(doc, set()).update(range(low, high))
     return deleted
 
 

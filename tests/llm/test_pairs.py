@@ -1,0 +1,141 @@
+import random
+
+import numpy as np
+import pytest
+
+from moodloom.llm import components as cc
+from moodloom.llm import embedding_dedup as ed
+from moodloom.llm import jaccard_join as jj
+from tests.llm import brute
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(60)]
+    links += [(500, 500 + i) for i in range(1, 80)] + [(7, 7), (9, 9)]
+    got = {r.node: r.component for r in cc.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    nodes = {n for a, b in links if a != b for n in (a, b)}
+    assert got == brute.components(nodes, [e for e in links if e[0] != e[1]])
+
+
+def test_no_edges(spark):
+    assert cc.components(spark.createDataFrame([(1, 1), (None, 2)], "a long, b long")).count() == 0
+
+
+def near_copies(rng, words=60, copies=40, edits=5):
+    """Documents around two originals, most of them at the edge of the similarity, and odd ones."""
+    docs = []
+    for _ in range(2):
+        base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+        for _ in range(copies):
+            own = list(base)
+            for _ in range(rng.randrange(edits)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(9999)}"
+            docs.append(" ".join(own[: rng.randrange(words - 6, words + 1)]))
+    shared = " ".join(f"common{i}" for i in range(15))
+    docs += [f"{shared} " + " ".join(f"z{rng.randrange(9999)}" for _ in range(rng.randrange(20, 60))) for _ in range(30)]
+    docs += ["a b c", "A  B\nC", "a b", "a", "", None, " \t", "a b c d e", "A b c d E", "a b c d e f", "É a", "é a"]
+    docs += ["q r s t u v w x y z " * 3000, "q r s t u v w x y z " * 2900]
+    return list(enumerate(docs))
+
+
+def check_jaccard(spark, rows):
+    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n_shingles int")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()}
+    assert got == brute.jaccard(dict(rows))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_jaccard_equals_brute_force(spark, seed):
+    check_jaccard(spark, near_copies(random.Random(seed)))
+
+
+def test_jaccard_with_split_tiles(spark, monkeypatch):
+    monkeypatch.setattr(jj, "TILE", 6)
+    monkeypatch.setattr(jj, "GROUP", 3)
+    check_jaccard(spark, near_copies(random.Random(4), copies=25))
+
+
+def test_jaccard_of_repeated_and_null_ids(spark):
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    rows = [(3, a), (3, a), (5, a), (3, b), (9, b), (None, a), (None, a), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect() if r.doc_id)
+    assert got == [(3, 46, 3)] * 3 + [(5, 46, 3), (7, 0, 7), (9, 46, 3)]
+    nulls = [r for r in jj.jaccard_components(df).collect() if r.doc_id is None]
+    assert [(r.n_shingles, r.component_id) for r in nulls] == [(46, None)] * 2
+    assert jj.jaccard_components(df.limit(0)).count() == 0
+
+
+def test_bound_never_drops_a_link():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        base = np.unique(rng.integers(0, 2**63, rng.integers(2, 400), dtype=np.uint64) * np.uint64(2))
+        sets = [base]
+        for _ in range(6):
+            keep = base[rng.random(len(base)) < 0.9]
+            sets.append(np.unique(np.concatenate([keep, rng.integers(0, 2**63, rng.integers(0, 30), dtype=np.uint64)])))
+        sets = sorted((s for s in sets if len(s)), key=len)
+        tile = jj.Tile(np.array([len(s) for s in sets]), [jj.bitmap(s) for s in sets], 80, 100)
+        for i in range(len(sets)):
+            others = np.array([j for j in range(len(sets)) if j != i], int)
+            passed = set(tile.partners(i, others).tolist()) if len(others) else set()
+            for j in others.tolist():
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                    assert j in passed
+
+
+def vectors(rng, n=300):
+    base = rng.normal(size=(n // 6, 16))
+    x = np.vstack([base, *[b + rng.normal(scale=0.09, size=(5, 16)) * np.linalg.norm(b) for b in base]])
+    return x.astype(np.float32)
+
+
+def brute_vectors(rows, least=0.93):
+    """(links, component) by all pairs; rows are (id, label, vector)."""
+    good = {}
+    for i, label, v in rows:
+        if label is not None and v and all(c is not None and np.isfinite(c) for c in v) and any(v):
+            good[i] = (label, np.array(v, np.float32).astype(float))
+    links = []
+    for i, (label, x) in good.items():
+        for j, (other, y) in good.items():
+            if i < j and label == other and len(x) == len(y):
+                if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= least:
+                    links.append((i, j))
+    found = brute.components([r[0] for r in rows], links)
+    return {i: (sum(i in e for e in links), found[i]) for i, _, _ in rows}
+
+
+@pytest.mark.parametrize("shard", [20_000, 40])
+def test_embeddings_equal_brute_force(spark, shard):
+    x = vectors(np.random.default_rng(1))
+    rows = [(i, i % 2, [float(c) for c in v]) for i, v in enumerate(x)]
+    rows += [(1000 + i, 1, rows[1][2]) for i in range(60)]  # one vector many times
+    rows += [(2000, None, rows[1][2]), (2001, 1, None), (2002, 1, []), (2003, 1, [0.0] * 16), (2004, 1, [float("nan")] * 16),
+             (2005, 1, [float("inf")] + [1.0] * 15), (2006, 1, [None] + [1.0] * 15), (2007, 1, [1.0] * 8), (2008, 1, [2.0] * 8)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, label int, embedding array<float>, kept string")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ed.near_duplicates(df, shard_size=shard).collect()}
+    assert got == {i: (n, c, c == i) for i, (n, c) in brute_vectors(rows).items()}
+
+
+def test_repeated_and_null_vectors(spark):
+    rows = [(1, 0, [1.0, 0.0]), (1, 0, [1.0, 0.0]), (2, 0, [1.0, 0.1]), (None, 0, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in ed.near_duplicates(df).collect())
+    assert got == [(0, 0, 0, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False)]
+    assert ed.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_recall_of_a_dense_group_and_of_loose_vectors():
+    rng = np.random.default_rng(2)
+    dense = rng.normal(size=16) + rng.normal(scale=0.05, size=(500, 16))
+    x = np.vstack([dense, rng.normal(size=(1500, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = ed.SmallWorld(x[rng.permutation(len(x))])
+    width = ed.audited_beam(graph, 0.93)
+    true = (graph.x @ graph.x.T >= 0.93).sum()
+    found = sum(len(graph.within(v, 0.93, width)) for v in graph.x)
+    assert 0.99 * true <= found <= true
