@@ -112,12 +112,18 @@ def seed_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def load_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """A tab-separated lexicon file: token, mean valence, then columns that are ignored."""
+    """A tab-separated lexicon file: token, mean valence, then columns that are ignored.
+
+    Tokens stay as written: words are looked up in lower case, so ``:D`` is no ``:d``. Of
+    several lines for a token the last one counts.
+    """
     rows = spark.read.schema(LEXICON_SCHEMA).csv(path, sep="\t", quote="", mode="PERMISSIVE")
+    line = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     return (
-        rows.where(F.col("valence").isNotNull())
-        .groupBy(F.lower("token").alias("token"))
-        .agg(F.max("valence").alias("valence"))
+        rows.select("token", "valence", line.alias("line"))
+        .where(F.col("valence").isNotNull())
+        .groupBy("token")
+        .agg(F.max_by("valence", "line").alias("valence"))
     )
 
 

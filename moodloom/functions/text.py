@@ -20,6 +20,7 @@ SPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 
+# What cleaning removes or replaces.
 URL = rf"http[^{SPACE}]+|www[^{SPACE}]+"
 MENTION = rf"@[{WORD}]+"
 HASHTAG = rf"#([{WORD}]+)"

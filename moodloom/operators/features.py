@@ -1,8 +1,8 @@
 """TF-IDF over unigrams and bigrams, as relations.
 
 ``terms`` holds one row per document with its distinct terms and counts, made
-inside the row. ``vocabulary`` has at most ``max_features`` rows and is the only
-thing broadcast. ``weights`` is the long form ``(id, term, idx, weight)``.
+inside the row. ``vocabulary`` has at most ``max_features`` rows; written out, it is
+broadcast by its size. ``weights`` is the long form ``(id, term, idx, weight)``.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def require_terms(vocab: DataFrame) -> DataFrame:
 def _raw_weights(terms: DataFrame, vocab: DataFrame, id_col: str) -> DataFrame:
     return (
         terms.select(id_col, F.inline_outer("term_counts"))
-        .join(F.broadcast(vocab.select("term", "idx", "idf")), "term")
+        .join(vocab.select("term", "idx", "idf"), "term")
         .select(id_col, "term", "idx", ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("weight"))
     )
 
@@ -90,8 +90,8 @@ def max_abs(weighted: DataFrame) -> DataFrame:
 
 
 def scale(weighted: DataFrame, scales: DataFrame) -> DataFrame:
-    """Add ``scaled``. There are at most as many scales as features, so they are broadcast."""
-    return weighted.join(F.broadcast(scales), "idx").withColumn(
+    """Add ``scaled``; there is one scale per feature."""
+    return weighted.join(scales, "idx").withColumn(
         "scaled", F.when(F.col("scale") == 0, F.col("weight")).otherwise(F.col("weight") / F.col("scale"))
     )
 

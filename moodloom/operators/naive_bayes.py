@@ -65,7 +65,7 @@ def predict(
     row per document. A document without known terms is scored by the prior alone.
     """
     sums = (
-        weighted.join(F.broadcast(theta.drop("term")), "idx")
+        weighted.join(theta.drop("term"), "idx")
         .groupBy(id_col)
         .agg(*[F.sum(F.col("weight") * F.col(c)).alias(f"sum_{c}") for c in classes])
     )

@@ -1,4 +1,8 @@
-"""Fixed schemas at every boundary; nothing is inferred."""
+"""Fixed schemas at every boundary; nothing is inferred.
+
+Fixed values: the column names and their order in ``RAW_TWEETS``, ``TWEET_COLUMNS`` and
+``FACT_COLUMNS`` are the output contract.
+"""
 
 from __future__ import annotations
 
@@ -46,17 +50,6 @@ PREPROCESSED = T.StructType(
     ]
 )
 
-SCORES = [
-    T.StructField("vader_compound", T.DoubleType()),
-    T.StructField("vader_pos", T.DoubleType()),
-    T.StructField("vader_neg", T.DoubleType()),
-    T.StructField("vader_neu", T.DoubleType()),
-]
-
-LABELED = T.StructType(
-    PREPROCESSED.fields + SCORES + [T.StructField("sentiment", T.StringType())]
-)
-
 FACT_COLUMNS = [
     "tweet_id",
     "topic",
@@ -85,16 +78,5 @@ PIPELINE_RUNS = T.StructType(
     ]
 )
 
-MODEL_METRICS = T.StructType(
-    [
-        T.StructField("model", T.StringType()),
-        T.StructField("accuracy", T.DoubleType()),
-        T.StructField("precision", T.DoubleType()),
-        T.StructField("recall", T.DoubleType()),
-        T.StructField("f1", T.DoubleType()),
-        T.StructField("is_primary", T.BooleanType()),
-    ]
-)
-
 # The three classes; also the fixed row and column order of the reports.
 SENTIMENTS = ["positive", "negative", "neutral"]
