@@ -9,7 +9,10 @@ import time
 from moodloom.plans.catalog import QUERIES
 from moodloom.session import get_spark
 
-HEADLINE = ["clean_tweet", "vader_scores", "daily_sentiment", "topic_kpis", "tfidf_weights"]
+HEADLINE = [
+    "clean_tweet", "vader_scores", "daily_sentiment", "topic_kpis", "tfidf_weights",
+    "ingest_dedup", "stratified_split", "train_lr", "predict_batch",
+]
 
 
 def main() -> None:

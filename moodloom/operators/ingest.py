@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from moodloom.functions.topics import detect_topic, is_retweet
 from moodloom.schemas import TWEET_COLUMNS
 
-TARGET = 10_000
-
-
 def drop_retweets(df: DataFrame) -> DataFrame:
     return df.where(~is_retweet(F.col("text")))
 
@@ -63,8 +60,8 @@ def collect(df: DataFrame) -> DataFrame:
     return first_arrivals(kept)
 
 
-def cap(df: DataFrame, target: int = TARGET) -> DataFrame:
-    """The first ``target`` distinct rows by arrival; the collection target of a run."""
+def cap(df: DataFrame, target: int) -> DataFrame:
+    """The first ``target`` distinct rows by arrival; the collection target of a run, if it has one."""
     return df.orderBy("arrival_seq").limit(target)
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from moodloom.functions import text as tx
 from moodloom.functions.dictionaries import default_stopwords, seed_irregular, seed_nouns
-from moodloom.session import broadcast_if_small
 
 # Noun endings and what replaces them, in order of trial.
 NOUN_SUFFIXES = [
@@ -48,7 +47,7 @@ def lemma_table(nouns: DataFrame, irregular: DataFrame) -> DataFrame:
     regular = (
         nouns.select(lemma.alias("lemma"), F.explode(F.array_compact(F.array(*forms))).alias("f"))
         .select("lemma", "f.*")
-        .join(F.broadcast(irregular.select(F.col("token").alias("form"))), "form", "left_anti")
+        .join(irregular.select(F.col("token").alias("form")), "form", "left_anti")
     )
     listed = irregular.select(F.col("token").alias("form"), "lemma", F.lit(1).alias("rank"))
     best = F.min_by("lemma", F.struct(F.length("lemma"), F.col("rank")))
@@ -77,7 +76,7 @@ def lemmatize(
     """
     changed = (
         df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("token"))
-        .join(broadcast_if_small(lemmas), "token")
+        .join(lemmas, "token")
         .groupBy(id_col)
         .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("_lemmas"))
     )
@@ -93,7 +92,7 @@ def lemmatize(
 
 def preprocess(
     df: DataFrame,
-    lemmas: DataFrame,
+    lemmas: DataFrame | None,
     stopwords: Iterable[str] | None = None,
     id_col: str = "tweet_id",
     min_words: int | None = MIN_WORDS,
@@ -101,13 +100,17 @@ def preprocess(
     """Add ``clean_text``, ``tokens``, ``processed_text``, ``text_length`` and ``word_count``.
 
     Posts with fewer than ``min_words`` words left are dropped; ``None`` keeps all.
+    Lemmas change words, not their number: a caller that needs only scores and
+    counts passes no ``lemmas`` and is spared their lookup.
     """
     stopwords = default_stopwords() if stopwords is None else stopwords
     prepared = df.withColumn("clean_text", tx.clean_text(F.col("text"))).withColumn(
         "tokens", tx.remove_stopwords(tx.tokenize(F.col("clean_text")), stopwords)
     )
+    if lemmas is not None:
+        prepared = lemmatize(prepared, lemmas, id_col)
     prepared = (
-        lemmatize(prepared, lemmas, id_col)
+        prepared
         .withColumn("processed_text", F.array_join("tokens", " "))
         .withColumn("text_length", F.length("clean_text"))
         .withColumn("word_count", tx.word_count(F.col("processed_text")))

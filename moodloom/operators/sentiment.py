@@ -1,10 +1,12 @@
 """Lexicon sentiment as a relational operator.
 
-Each word becomes a row that carries its neighbours (three before, two after),
-so that negation, boosters and the like need no window: the lexicon joins are
-broadcast joins on the map side, only lexicon words and one marker row per text
-pass them, and the partial aggregate reduces a text to one short row before the
-single exchange by id.
+Each word becomes a row; those in the lexicon take their neighbours (three before, two
+after) from the text's words, so negation, boosters and the like need no window. A lexicon of a few MB is
+broadcast by its size, and the joins are on the map side; a larger one is joined
+by shuffle. Only lexicon words and one marker row per text pass the first join, and
+the aggregate reduces a text to one short row. The columns to keep travel on
+the marker row, so nothing is joined back, and an input partitioned by id needs
+no exchange at all.
 
 The rules are those of Hutto & Gilbert (2014) and the published scorer,
 including its reading of ``never so`` three words back, where ``so`` or ``this``
@@ -23,7 +25,6 @@ from pyspark.sql import functions as F
 
 from moodloom.functions.dictionaries import BOOSTERS, IDIOMS, NEGATIONS
 from moodloom.functions.text import SPACE
-from moodloom.session import broadcast_if_small
 
 # Fixed values.
 NEGATION_FACTOR = -0.74
@@ -91,38 +92,30 @@ def _lookup_in(values: Mapping[str, float]) -> Callable[[Column], Column]:
     return lambda phrase: F.element_at(entries, phrase)
 
 
-def word_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per word with its neighbours; a text without words keeps one row of nulls."""
-    n = F.size("words")
+def word_rows(df: DataFrame, id_col: str, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per word with all ``words`` of its text; a text without words keeps one row of nulls.
 
-    def before(k: int) -> Column:
-        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), k), "words"), F.lit(1), n)
-
-    def after(k: int) -> Column:
-        return F.slice("words", F.lit(1 + k), n)
-
-    neighbours = F.arrays_zip(
-        F.col("words").alias("word"),
-        before(1).alias("back1"),
-        before(2).alias("back2"),
-        before(3).alias("back3"),
-        after(1).alias("next1"),
-        after(2).alias("next2"),
-    )
+    ``kept``, a struct of the columns ``keep``, is set in the first row of a text.
+    """
     raw_words = F.filter(F.split(F.col("text"), f"[{SPACE}]+"), lambda w: w != "")
     return (
-        df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        df.select(
+            F.col(id_col).alias("id"),
+            F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+            F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
+        )
         .withColumn("words", F.transform(raw_words, _strip_punctuation))
         .select(
             "id",
+            "kept",
             F.size("words").alias("n_words"),
             punctuation_emphasis(F.col("text")).alias("emphasis"),
             (F.exists("words", _is_upper) & ~F.forall("words", _is_upper)).alias("mixed_case"),
             (F.array_position(F.transform("words", F.lower), "but") - 1).alias("but_at"),
-            neighbours.alias("neighbours"),
+            "words",
         )
-        .select("id", "n_words", "emphasis", "mixed_case", "but_at", F.posexplode_outer("neighbours"))
-        .select("id", "n_words", "emphasis", "mixed_case", "but_at", "pos", "col.*")
+        .select("*", F.posexplode_outer("words").alias("pos", "word"))
+        .withColumn("kept", F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("kept")))
     )
 
 
@@ -142,17 +135,23 @@ def _valence(
     def valence_of(name: str) -> DataFrame:
         return lexicon.select(F.col("token").alias(name), F.col("valence").alias(f"{name}_valence"))
 
+    near = {"back1": -1, "back2": -2, "back3": -3, "next1": 1, "next2": 2}
     hits = (
         rows.withColumn("item", F.lower("word"))
         .join(valence_of("item"), "item", "left")
         .where(F.col("item_valence").isNotNull() | F.coalesce("pos", F.lit(0)).eqNullSafe(0))
+        .withColumns({name: F.get("words", F.col("pos") + d) for name, d in near.items()})
+        .drop("words")
         .withColumn(
             "around", F.transform(F.array("back1", "back2", "back3", "next1", "next2"), F.lower)
         )
         .withColumns({name: F.col("around")[i] for i, name in enumerate(("b1", "b2", "b3", "n1", "n2"))})
     )
+    # Where a shuffle joins a large lexicon, missing neighbours must not meet in one task.
+    nobody = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("id"), F.lit(997)).cast("string"))
     for name in ("b1", "b2", "b3", "n1"):
-        hits = hits.join(valence_of(name), name, "left")
+        other = valence_of("_near").withColumnRenamed("_near_valence", f"{name}_valence")
+        hits = hits.join(other, F.coalesce(F.col(name), nobody) == F.col("_near"), "left").drop("_near")
 
     booster_of = _lookup_in(boosters)
     item, pos, v, mixed = F.col("item"), F.col("pos"), F.col("v"), F.col("mixed_case")
@@ -241,12 +240,16 @@ def sentiment_scores(
     boosters: Mapping[str, float] = BOOSTERS,
     negations: Sequence[str] = NEGATIONS,
     idioms: Mapping[str, float] = IDIOMS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``id_col`` and the four scores, one row per input row; ``id_col`` must be unique."""
-    rows = word_rows(df, id_col, text_col)
-    valued = _valence(rows, broadcast_if_small(lexicon), boosters, negations, idioms)
+    """``id_col``, the columns ``keep`` and the four scores, one row per input row; ``id_col`` must be unique."""
+    keep = [c for c in keep if c != id_col]
+    rows = word_rows(df, id_col, text_col, keep)
+    valued = _valence(rows if keep else rows.drop("kept"), lexicon, boosters, negations, idioms)
     v = F.col("v")
+    kept = [F.first("kept", ignorenulls=True).alias("kept")] if keep else []
     sums = valued.groupBy("id").agg(
+        *kept,
         F.max("n_words").alias("n_words"),
         F.max("emphasis").alias("emphasis"),
         F.sum("v").alias("total"),
@@ -259,6 +262,7 @@ def sentiment_scores(
     pos, neg = F.col("pos_sum"), F.col("neg_sum")
     sums = sums.select(
         "id",
+        *[F.col("kept")[c].alias(f"_keep_{c}") for c in keep],
         pushed.alias("total"),
         F.when(pos > neg, pos + emphasis).otherwise(pos).alias("pos_sum"),
         F.when(pos < neg, neg + emphasis).otherwise(neg).alias("neg_sum"),
@@ -275,6 +279,7 @@ def sentiment_scores(
     compound = total / F.sqrt(total * total + NORMALIZER)
     return sums.select(
         F.col("id").alias(id_col),
+        *[F.col(f"_keep_{c}").alias(c) for c in keep],
         F.bround(F.greatest(F.least(compound, F.lit(1.0)), F.lit(-1.0)), 4).alias("vader_compound"),
         share("pos_sum").alias("vader_pos"),
         share("neg_sum").alias("vader_neg"),
@@ -291,12 +296,14 @@ def label(compound: Column) -> Column:
 
 
 def with_sentiment(
-    df: DataFrame, lexicon: DataFrame, id_col: str = "tweet_id", text_col: str = "clean_text", **lists
+    df: DataFrame,
+    lexicon: DataFrame,
+    id_col: str = "tweet_id",
+    text_col: str = "clean_text",
+    keep: Sequence[str] | None = None,
+    **lists,
 ) -> DataFrame:
-    """Input columns plus the four scores and the label.
-
-    The join back is by ``id_col``, the key the scores are already partitioned
-    by, and reads only the columns the caller keeps.
-    """
-    scores = sentiment_scores(df, lexicon, id_col, text_col, **lists)
-    return df.join(scores, id_col).withColumn("sentiment", label(F.col("vader_compound")))
+    """The columns ``keep`` (all by default) plus the four scores and the label."""
+    keep = list(df.columns if keep is None else keep)
+    scores = sentiment_scores(df, lexicon, id_col, text_col, keep=keep, **lists)
+    return scores.withColumn("sentiment", label(F.col("vader_compound")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,18 +11,28 @@ from moodloom.functions import dictionaries, topics
 from moodloom.functions import text as tx
 from moodloom.functions.dates import with_time_columns
 from moodloom.operators import evaluation, features, ingest, marts, sentiment, split, trends
-from moodloom.operators.classifiers import SentimentModel, predict_sentiment
+from moodloom.operators.classifiers import (
+    SVC_ITERATIONS,
+    SentimentModel,
+    gradient_size,
+    iterations_used,
+    predict_sentiment,
+)
 from moodloom.operators.preprocess import lemmatize, preprocess, seed_lemmas
 from moodloom.plans import scheduled_run, training
-from moodloom.schemas import PREPROCESSED, RAW_TWEETS
+from moodloom.schemas import PREPROCESSED, SENTIMENTS
 from moodloom.session import materialize, workspace
 from moodloom.sources.posts import posts
-from moodloom.sources.tables import read_csv_back, write_csv
+from moodloom.sources.tables import append_new, init_raw_table, read_csv_back, write_csv
 from moodloom.streaming import posts as stream
+from moodloom.streaming.runs import run_pending
 
-# The solvers' iteration bounds for the registered queries; the library defaults are higher.
-LR_ITERATIONS = 100
-SVC_ITERATIONS = 10
+# The collection target of the capped query; the other queries have none.
+CAP = 500
+# Buckets of the raw table at the size of the given tables.
+BUCKETS = 8
+# So that tables of several files reach the streams in several batches.
+FILES_PER_BATCH = 2
 
 
 def joined(items: Column) -> Column:
@@ -34,24 +46,26 @@ def collected(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.collect(posts(spark, sf))
 
 
-def prepared(spark: SparkSession, sf: str) -> DataFrame:
-    """Prepared English posts; written, since scores and terms both start from them."""
-    ready = preprocess(ingest.english(collected(spark, sf)), seed_lemmas(spark))
-    return materialize(ready, "prepared")
+def prepared(spark: SparkSession, sf: str, lemmas: bool = True) -> DataFrame:
+    """Prepared English posts, partitioned by id since the dedup."""
+    return preprocess(ingest.english(collected(spark, sf)), seed_lemmas(spark) if lemmas else None)
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
-    return sentiment.with_sentiment(prepared(spark, sf), dictionaries.seed_lexicon(spark))
+def scored(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
+    """Prepared posts with scores and label, of their columns only ``keep``."""
+    ready = prepared(spark, sf, lemmas="processed_text" in keep)
+    return sentiment.with_sentiment(ready, dictionaries.seed_lexicon(spark), keep=["tweet_id", *keep])
 
 
 def reported(spark: SparkSession, sf: str) -> DataFrame:
     """The input of the reports, labeled by the lexicon."""
-    return with_time_columns(marts.with_lexicon_confidence(scored(spark, sf)))
+    rows = scored(spark, sf, "topic", "retweet_count", "like_count", "word_count", "created_at")
+    return with_time_columns(marts.with_lexicon_confidence(rows))
 
 
 def labeled(spark: SparkSession, sf: str) -> DataFrame:
     """The input of the classifiers; written, since the split reads it several times."""
-    rows = scored(spark, sf).select("tweet_id", "processed_text", "sentiment")
+    rows = scored(spark, sf, "processed_text").select("tweet_id", "processed_text", "sentiment")
     return materialize(rows, "labeled")
 
 
@@ -96,7 +110,7 @@ def ingest_conflict(spark, sf):
 
 
 def ingest_cap(spark, sf):
-    return ingest.cap(collected(spark, sf)).select("arrival_seq", "tweet_id", "topic")
+    return ingest.cap(collected(spark, sf), CAP).select("arrival_seq", "tweet_id", "topic")
 
 
 def topic_detect(spark, sf):
@@ -135,13 +149,11 @@ def lemmatize_tokens(spark, sf):
 
 
 def preprocess_posts(spark, sf):
-    ready = preprocess(ingest.english(collected(spark, sf)), seed_lemmas(spark))
-    return ready.select("tweet_id", "clean_text", "processed_text", "text_length", "word_count")
+    return prepared(spark, sf).select("tweet_id", "clean_text", "processed_text", "text_length", "word_count")
 
 
 def ngrams(spark, sf):
-    ready = preprocess(ingest.english(collected(spark, sf)), seed_lemmas(spark))
-    return tx.with_terms(ready, "processed_text").select("tweet_id", joined("terms").alias("terms"))
+    return tx.with_terms(prepared(spark, sf), "processed_text").select("tweet_id", joined("terms").alias("terms"))
 
 
 # Sentiment
@@ -207,7 +219,7 @@ def trending_hashtags(spark, sf):
 
 
 def influencer_sentiment(spark, sf):
-    return trends.influencer_sentiment(scored(spark, sf))
+    return trends.influencer_sentiment(scored(spark, sf, "username", "like_count", "retweet_count"))
 
 
 # Features and models
@@ -276,37 +288,72 @@ def classification_report(spark, sf):
     )
 
 
-def _linear(spark, sf, kind, max_iter) -> tuple[SentimentModel, DataFrame]:
+def _linear(spark, sf, kind):
+    """The shared relations, the fitted model and its test predictions."""
     data = training.training_set(labeled(spark, sf))
-    return training.fit_linear(data, training.vectors(data), kind, max_iter)
+    rows = training.vectors(data)
+    model, predicted = training.fit_linear(data, rows, kind)
+    return data, rows, model, predicted
 
 
 def train_lr(spark, sf):
-    return _linear(spark, sf, "logistic", LR_ITERATIONS)[1]
+    """The test rows, and whether the solver found the optimum of the training rows."""
+    data, rows, model, predicted = _linear(spark, sf, "logistic")
+    train = split.with_class_weight(rows.where(F.col("split") == "train"))
+    size = gradient_size(model.stages, train, data.weighted)
+    return predicted.select("tweet_id", "sentiment", F.lit(size < 1e-3).alias("gradient_is_zero"))
+
+
+def _beats_largest(predicted: DataFrame) -> DataFrame:
+    """``n_test``, and whether the accuracy exceeds the share of the largest class."""
+    counts = predicted.groupBy("sentiment").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("sentiment") == F.col("prediction")).alias("hit")
+    )
+    return counts.agg(F.sum("n").alias("n_test"), (F.sum("hit") > F.max("n")).alias("beats_largest"))
 
 
 def train_svc(spark, sf):
-    return _linear(spark, sf, "svc", SVC_ITERATIONS)[1]
+    _, _, model, predicted = _linear(spark, sf, "svc")
+    converged = iterations_used(model.stages) < SVC_ITERATIONS
+    return _beats_largest(predicted).withColumn("converged", F.lit(converged))
 
 
 def model_metrics(spark, sf):
-    return training.train_models(
-        labeled(spark, sf), lr_iterations=LR_ITERATIONS, svc_iterations=SVC_ITERATIONS
-    )[1]
+    """The comparison: each model against the share of the largest class, and its figures in bounds."""
+    rows = labeled(spark, sf)
+    table = materialize(training.train_models(rows)[1], "metrics")
+    tested = split.stratified_split(rows).where(F.col("split") == "test")
+    share = tested.groupBy("sentiment").count().agg(100 * F.max("count") / F.sum("count")).first()[0]
+    figures = [F.col(m) for m in ("accuracy", "precision", "recall", "f1")]
+    return table.select(
+        "model",
+        "is_primary",
+        (F.col("accuracy") > share).alias("beats_largest"),
+        ((F.least(*figures) >= 0) & (F.greatest(*figures) <= 100)).alias("in_bounds"),
+    )
 
 
 def _saved_model(spark, sf) -> SentimentModel:
     path = workspace(spark, "model")
-    _linear(spark, sf, "logistic", LR_ITERATIONS)[0].save(path)
+    _linear(spark, sf, "logistic")[2].save(path)
     return SentimentModel.load(spark, path)
 
 
 def predict_batch(spark, sf):
     """Raw texts of all first arrivals through a model that was saved and loaded."""
     texts = ingest.first_arrivals(posts(spark, sf)).select("tweet_id", "text")
-    return predict_sentiment(
+    predicted = predict_sentiment(
         texts, _saved_model(spark, sf), dictionaries.seed_lexicon(spark), seed_lemmas(spark)
     )
+    parts = [F.col(f"prob_{s}") for s in SENTIMENTS]
+    chosen = F.greatest(*[F.when(F.col("sentiment") == s, p) for s, p in zip(SENTIMENTS, parts)])
+    return predicted.select(
+        "tweet_id",
+        "text",
+        "vader_compound",
+        (F.abs(sum(parts, F.lit(0.0)) - 1) < 1e-9).alias("sums_to_one"),
+        ((F.col("confidence") == F.greatest(*parts)) & (F.col("confidence") == chosen)).alias("is_likeliest"),
+    )
 
 
 # Sinks and runs
@@ -314,14 +361,15 @@ def predict_batch(spark, sf):
 
 def csv_roundtrip(spark, sf):
     path = workspace(spark, "csv")
-    ready = preprocess(ingest.english(collected(spark, sf)), seed_lemmas(spark))
-    write_csv(ready.select(PREPROCESSED.fieldNames()), path)
+    write_csv(prepared(spark, sf).select(PREPROCESSED.fieldNames()), path)
     return read_csv_back(spark, path, PREPROCESSED)
 
 
 def export_manifest(spark, sf):
+    """All five report tables."""
     rows = materialize(reported(spark, sf), "reported")
-    return scheduled_run.export_marts(rows, workspace(spark, "marts"))
+    metrics = training.train_models(labeled(spark, sf))[1]
+    return scheduled_run.export_marts(rows, workspace(spark, "marts"), metrics)
 
 
 def _run_twice(spark, sf, out_dir) -> None:
@@ -334,10 +382,12 @@ def _run_twice(spark, sf, out_dir) -> None:
 
 
 def scheduled(spark, sf):
-    """The daily report that a scheduled run publishes."""
+    """Totals of the daily report that a scheduled run publishes; they do not depend on the labels."""
     out_dir = workspace(spark, "run")
     _run_twice(spark, sf, out_dir)
-    return spark.read.parquet(f"{out_dir}/Daily_Sentiment")
+    daily = spark.read.parquet(f"{out_dir}/Daily_Sentiment")
+    sums = [F.sum(c).alias(c) for c in ("tweet_count", "total_likes", "total_retweets")]
+    return daily.groupBy("date", "topic").agg(*sums, F.count_if(F.col("pct") > 100).alias("odd"))
 
 
 def run_log(spark, sf):
@@ -346,23 +396,34 @@ def run_log(spark, sf):
     return spark.read.parquet(f"{out_dir}/runs").select("tweet_count", "success", "error_msg")
 
 
+def _raw_table(spark) -> str:
+    name = f"raw_{uuid.uuid4().hex}"
+    init_raw_table(spark, name, BUCKETS, workspace(spark, "raw"))
+    return name
+
+
+def raw_table(spark, sf):
+    """Posts of even number come first, then all: an id that is there is not taken again."""
+    name, rows = _raw_table(spark), posts(spark, sf)
+    append_new(spark, ingest.collect(rows.where("arrival_seq % 2 = 0")), name)
+    append_new(spark, ingest.collect(rows), name)
+    return spark.table(name).select("arrival_seq", "tweet_id", "topic")
+
+
 # Streams, each run until its input is used up
 
 
 def stream_ingest(spark, sf):
-    base = workspace(spark, "ingest")
-    query = stream.ingest_stream(
-        stream.read_posts_stream(spark, sf), f"{base}/raw", f"{base}/bad", f"{base}/progress"
-    ).start()
-    query.awaitTermination()
-    rows = spark.read.schema(RAW_TWEETS).parquet(f"{base}/raw")
-    return rows.select("arrival_seq", "tweet_id", "topic", "lang", "retweet_count", "like_count")
+    base, name = workspace(spark, "ingest"), _raw_table(spark)
+    source = stream.read_posts_stream(spark, sf, FILES_PER_BATCH)
+    stream.ingest_stream(source, name, f"{base}/bad", f"{base}/progress").start().awaitTermination()
+    return spark.table(name).select("arrival_seq", "tweet_id", "topic", "lang", "retweet_count", "like_count")
 
 
 def stream_dedup(spark, sf):
     base = workspace(spark, "dedup")
     query = (
-        stream.dedup_stream(stream.read_posts_stream(spark, sf))
+        stream.dedup_stream(stream.read_posts_stream(spark, sf, FILES_PER_BATCH))
         .select("tweet_id")
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{base}/progress")
@@ -375,42 +436,21 @@ def stream_dedup(spark, sf):
 
 def stream_volume(spark, sf):
     base = workspace(spark, "volume")
-    posts_in = ingest.with_topic(stream.read_posts_stream(spark, sf))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/windows/batch_id={batch_id}")
-
-    query = (
-        stream.volume_stream(posts_in)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", f"{base}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    # Counts only grow, so the latest count of a window is its highest.
-    return (
-        spark.read.parquet(f"{base}/windows")
-        .groupBy("hour", "topic")
-        .agg(F.max("tweet_count").alias("tweet_count"))
-    )
+    source = ingest.with_topic(stream.read_posts_stream(spark, sf, FILES_PER_BATCH))
+    stream.volume_stream(source, f"{base}/windows", f"{base}/progress").start().awaitTermination()
+    return stream.volume(spark, f"{base}/windows")
 
 
 def stream_score(spark, sf):
-    base = workspace(spark, "score")
-    lexicon, lemmas = dictionaries.seed_lexicon(spark), seed_lemmas(spark)
-
-    def score(batch: DataFrame) -> DataFrame:
-        ready = materialize(preprocess(ingest.english(ingest.collect(batch)), lemmas), "prepared")
-        rows = sentiment.with_sentiment(ready, lexicon)
-        return rows.select("tweet_id", "vader_compound", "sentiment")
-
-    query = stream.score_stream(
-        stream.read_posts_stream(spark, sf), score, f"{base}/scores", f"{base}/progress"
-    ).start()
-    query.awaitTermination()
-    return spark.read.parquet(f"{base}/scores").select("tweet_id", "vader_compound", "sentiment")
+    """The incremental run over all that waits; its labeled rows."""
+    out_dir = workspace(spark, "incremental")
+    words = dictionaries.seed_lexicon(spark), seed_lemmas(spark)
+    source = stream.read_posts_stream(spark, sf, FILES_PER_BATCH)
+    log = run_pending(source, _raw_table(spark), _saved_model(spark, sf), *words, out_dir).first()
+    if not log.success:
+        raise RuntimeError(log.error_msg)
+    rows = spark.read.parquet(f"{out_dir}/labeled")
+    return rows.select("tweet_id", "vader_compound", F.col("vader_sentiment").alias("sentiment"))
 
 
 QUERIES = {
@@ -457,6 +497,7 @@ QUERIES = {
     "model_metrics": model_metrics,
     "predict_batch": predict_batch,
     "csv_roundtrip": csv_roundtrip,
+    "raw_table": raw_table,
     "export_manifest": export_manifest,
     "scheduled_run": scheduled,
     "run_log": run_log,

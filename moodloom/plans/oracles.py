@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from moodloom.functions import dictionaries as words
 from moodloom.functions import text as tx
-from moodloom.functions.topics import TOPIC_KEYWORDS
+from moodloom.functions.topics import STREAM_RULES, TOPIC_KEYWORDS
 from moodloom.operators.preprocess import NOUN_SUFFIXES
 from moodloom.operators.sentiment import PUNCTUATION
 from moodloom.schemas import SENTIMENTS
@@ -45,6 +45,8 @@ COLLECTED = f"""collected AS (
   coalesce(retweet_count, 0) AS retweet_count, coalesce(like_count, 0) AS like_count, created_at
  FROM posts WHERE NOT starts_with(text, 'RT ')
  QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY arrival_seq) = 1)"""
+FIRST = """firsts AS (SELECT tweet_id, text FROM posts
+ QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY arrival_seq) = 1)"""
 ENGLISH = "english AS (SELECT * FROM collected WHERE lang = 'en')"
 
 
@@ -61,15 +63,8 @@ def _rule(terms: list[list[str]], strict: bool) -> str:
 
 
 def _tags(strict: bool) -> str:
-    rules = [
-        ("AI", [["ChatGPT"], ["OpenAI"], ["LLM"]]),
-        ("Climate", [["climate", "change"], ["COP30"]]),
-        ("Sports", [["Champions", "League"], ["NBA"]]),
-        ("Politics", [["election"], ["senate"]]),
-        ("Crypto", [["Bitcoin"], ["Ethereum"], ["DeFi"]]),
-    ]
     return "concat_ws('|', " + ", ".join(
-        f"CASE WHEN {_rule(terms, strict)} THEN '{tag}' END" for tag, terms in rules
+        f"CASE WHEN {_rule(rule.terms, strict)} THEN '{rule.tag}' END" for rule in STREAM_RULES
     ) + ")"
 
 
@@ -376,7 +371,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_conflict": _with(POSTS, select="""SELECT min(arrival_seq) AS arrival_seq, tweet_id FROM posts
             WHERE tweet_id NOT IN (SELECT tweet_id FROM posts WHERE starts_with(text, 'RT ')) GROUP BY tweet_id"""),
         "ingest_cap": _with(POSTS, COLLECTED, select="""SELECT arrival_seq, tweet_id, topic FROM collected
-            ORDER BY arrival_seq LIMIT 10000"""),
+            ORDER BY arrival_seq LIMIT 500"""),
         "topic_detect": _with(POSTS, select=f"SELECT arrival_seq, {_TOPIC} AS topic FROM posts"),
         "stream_rules": _with(POSTS, select=f"""SELECT arrival_seq, {_tags(False)} AS tags,
             {_tags(True)} AS strict_tags FROM posts"""),
@@ -426,9 +421,26 @@ def oracle_sql() -> dict[str, str]:
             clean_text, processed_text, text_length, word_count FROM prepared"""),
         "export_manifest": _with(*REPORTED, select=f"""SELECT 'Fact_Tweets' AS table_name, count(*) AS rows FROM reported
             UNION ALL SELECT 'Daily_Sentiment', count(*) FROM ({daily}) UNION ALL SELECT 'Topic_KPIs', count(*) FROM ({kpis})
-            UNION ALL SELECT 'Hourly_Heatmap', count(*) FROM ({heat})"""),
+            UNION ALL SELECT 'Hourly_Heatmap', count(*) FROM ({heat})
+            UNION ALL SELECT 'Model_Metrics', 3"""),
+        "raw_table": _with(POSTS, select=f"""SELECT arrival_seq, tweet_id, {_TOPIC} AS topic FROM posts
+            WHERE NOT starts_with(text, 'RT ')
+            QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY arrival_seq % 2, arrival_seq) = 1"""),
+        "train_lr": _with(*SCORED, *SPLIT, select="""SELECT tweet_id, sentiment, true AS gradient_is_zero
+            FROM parts WHERE split = 'test'"""),
+        "train_svc": _with(*SCORED, *SPLIT, select="""SELECT count(*) AS n_test, true AS beats_largest, true AS converged
+            FROM parts WHERE split = 'test'"""),
+        "model_metrics": """SELECT model, model = 'Logistic Regression' AS is_primary, true AS beats_largest, true AS in_bounds
+            FROM (VALUES ('Logistic Regression'), ('SVM (LinearSVC)'), ('Naive Bayes')) m(model)""",
+        "predict_batch": _with(POSTS, FIRST, *_scores("firsts", "tweet_id", _emoji("text")), select="""SELECT tweet_id, text,
+            vader_compound, true AS sums_to_one, true AS is_likeliest FROM firsts JOIN scores USING (tweet_id)"""),
+        "scheduled_run": _with(*READY, select="""SELECT CAST(created_at AS DATE) AS date, topic, count(*) AS tweet_count,
+            CAST(sum(like_count) AS BIGINT) AS total_likes, CAST(sum(retweet_count) AS BIGINT) AS total_retweets,
+            CAST(0 AS BIGINT) AS odd FROM prepared GROUP BY ALL"""),
+        "run_log": _with(*READY, select="""SELECT count(*) AS tweet_count, true AS success, CAST(NULL AS VARCHAR) AS error_msg
+            FROM prepared UNION ALL SELECT 0, true, NULL"""),
         "stream_ingest": _with(POSTS, COLLECTED, select="""SELECT arrival_seq, tweet_id, topic, lang, retweet_count, like_count
-            FROM collected ORDER BY arrival_seq LIMIT 10000"""),
+            FROM collected"""),
         "stream_dedup": _with(POSTS, select="SELECT DISTINCT tweet_id FROM posts"),
         "stream_volume": volume,
         "stream_score": labels,

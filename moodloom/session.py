@@ -1,32 +1,50 @@
-"""Session settings, shared scratch folder and the size check before a broadcast."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A dictionary of this many short rows is a few tens of MB as a hash relation.
-BROADCAST_ROWS = 500_000
+# Of local sessions without a shared folder; removed when the interpreter ends.
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def get_spark(app: str = "moodloom", cpus: int | None = None) -> SparkSession:
-    """Session for local runs; on a cluster spark-submit supplies master and sizes."""
-    cpus = cpus or os.cpu_count()
-    return (
+    """The session of a run.
+
+    With ``cpus`` a local one of that many threads. Without, master, memory and
+    shuffle partitions stay what spark-submit or the cluster's defaults say.
+    """
+    builder = (
         SparkSession.builder.appName(app)
-        .master(f"local[{cpus}]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if cpus is not None:
+        builder = (
+            builder.master(f"local[{cpus}]")
+            .config("spark.ui.enabled", "false")
+            .config("spark.driver.memory", "8g")
+            .config("spark.sql.shuffle.partitions", str(cpus))
+        )
+    return builder.getOrCreate()
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """This session's folder under ``spark.checkpoint.dir``, which all executors share."""
+    context = spark.sparkContext
+    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        app = context.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.TemporaryDirectory(prefix="moodloom-", ignore_cleanup_errors=True)
+        base = _local_folders[app].name
+    return f"{base.rstrip('/')}/moodloom-{context.applicationId}"
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -35,14 +53,13 @@ def workspace(spark: SparkSession, name: str) -> str:
     Lies under the shared folder in ``spark.checkpoint.dir``. Only a local
     session without that setting falls back to the machine's temporary folder.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="moodloom-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release_workspace(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this session; call it when its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -54,15 +71,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = workspace(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; larger tables join by shuffle (AQE splits skew).
-
-    The dictionary stays cached, as it is read several times.
-    """
-    cached = df.persist()
-    if cached.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df

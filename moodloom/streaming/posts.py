@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
-from moodloom.operators.ingest import TARGET, cap, collect, is_valid, new_arrivals
-from moodloom.schemas import ARRIVING_TWEETS, RAW_TWEETS
+from moodloom.operators.ingest import cap, collect, is_valid, new_arrivals
+from moodloom.operators.trends import volume_over_time
+from moodloom.schemas import ARRIVING_TWEETS
 from moodloom.sources.posts import posts_from
+from moodloom.sources.tables import append_new
 
 CORRUPT = "_corrupt_record"
 
@@ -40,43 +43,44 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str) -> DataFram
     ).select("post.*", F.when(F.col("post").isNull(), F.col(CORRUPT)).alias(CORRUPT))
 
 
-def read_posts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived posts with ``events`` as the stream and ``documents`` as a static side."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+def read_posts_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """The derived posts with ``events`` as the stream and ``documents`` as a static side.
+
+    The pattern in the path lets the table be one file or a folder of part files.
+    """
+    reader = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    events = reader.parquet(f"{sf_dir}/event[s].parquet")
     return posts_from(events, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    """The raw table, created empty if absent."""
-    spark.createDataFrame([], RAW_TWEETS).write.mode("ignore").parquet(path)
-    return spark.read.schema(RAW_TWEETS).parquet(path)
+def _sound(batch: DataFrame, quarantine_dir: str, batch_id: int) -> DataFrame:
+    """The rows an insert can take; the others go to quarantine, in a folder of the batch."""
+    good = is_valid()
+    if CORRUPT in batch.columns:
+        good = good & F.col(CORRUPT).isNull()
+    batch.where(~good).write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={batch_id}")
+    return batch.where(good).select(ARRIVING_TWEETS.fieldNames())
 
 
-def ingest_batch(out_dir: str, quarantine_dir: str, target: int | None = TARGET) -> Callable:
-    """A micro-batch of collection: bad rows to quarantine, new first arrivals to the table.
+def ingest_batch(table: str, quarantine_dir: str, target: int | None = None) -> Callable:
+    """A micro-batch of collection: bad rows to quarantine, new first arrivals to the raw table.
 
-    A batch that is run again after a failure adds nothing twice, because ids already
-    in the table are left out. Collection stops adding rows at ``target``.
+    A batch that is run again after a failure adds nothing twice: ids already in the
+    table are left out, and its quarantine folder is written anew. With a ``target``,
+    collection stops adding rows there.
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good = is_valid()
-        if CORRUPT in batch.columns:
-            # The corrupt-record column cannot be the only one read from a file source.
-            batch = batch.persist()
-            good = good & F.col(CORRUPT).isNull()
-        batch.where(~good).write.mode("append").parquet(quarantine_dir)
-        rows = batch.where(good).select(ARRIVING_TWEETS.fieldNames())
-        stored = _stored(spark, out_dir)
-        fresh = new_arrivals(collect(rows), stored)
+        # Read once for the quarantine and once for the insert.
+        batch = batch.persist()
+        arriving = collect(_sound(batch, quarantine_dir, batch_id))
         if target is not None:
-            fresh = cap(fresh, max(target - stored.count(), 0))
-        stamped = fresh.withColumn("collected_at", F.current_timestamp())
-        stamped.select(*RAW_TWEETS.fieldNames()).write.mode("append").parquet(out_dir)
+            room = max(target - spark.table(table).count(), 0)
+            arriving = cap(new_arrivals(arriving, spark.table(table)), room)
+        append_new(spark, arriving, table)
         batch.unpersist()
 
     return write
@@ -84,45 +88,39 @@ def ingest_batch(out_dir: str, quarantine_dir: str, target: int | None = TARGET)
 
 def ingest_stream(
     stream: DataFrame,
-    out_dir: str,
+    table: str,
     quarantine_dir: str,
     checkpoint_dir: str,
-    target: int | None = TARGET,
+    target: int | None = None,
 ) -> DataStreamWriter:
-    counted = stream.observe("ingest", F.count(F.lit(1)).alias("rows"))
+    """Collect into the raw table ``table`` (see ``init_raw_table``), which knows ids of any age."""
     return (
-        counted.writeStream.foreachBatch(ingest_batch(out_dir, quarantine_dir, target))
+        StreamReport.counted(stream).writeStream.foreachBatch(ingest_batch(table, quarantine_dir, target))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
     )
 
 
 def dedup_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One row per ``tweet_id`` within the watermark; state is bounded by ``delay``.
+    """One row per ``tweet_id``; an id is remembered for ``delay`` after it arrived.
 
-    Which copy stays is open when several arrive in one micro-batch;
-    ``ingest_stream`` keeps the first arrival and knows ids of any age.
+    The watermark is on the time of arrival, so no row is late whatever time it
+    carries; the state is bounded by what arrives within ``delay``. Which copy stays is
+    open when several arrive in one micro-batch; ``ingest_stream`` keeps the first
+    arrival and knows ids of any age.
     """
-    return stream.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["tweet_id"])
+    arrived = stream.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", delay)
+    return arrived.dropDuplicatesWithinWatermark(["tweet_id"]).drop("arrived_at")
 
 
-def volume_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Posts per hour and topic; ``update`` mode emits every window that changed."""
-    return (
-        stream.withWatermark("created_at", delay)
-        .groupBy(F.window("created_at", "1 hour"), "topic")
-        .agg(F.count(F.lit(1)).alias("tweet_count"))
-        .select(F.col("window.start").alias("hour"), "topic", "tweet_count")
-    )
+def volume_stream(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataStreamWriter:
+    """Posts per hour and topic as partial counts of each batch, which ``volume`` sums.
 
-
-def score_stream(
-    stream: DataFrame, score: Callable[[DataFrame], DataFrame], out_dir: str, checkpoint_dir: str
-) -> DataStreamWriter:
-    """Score what arrived since the last run; each batch is one folder, rewritten if repeated."""
+    There is no state and no late row; a repeated batch replaces its counts.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        score(batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        volume_over_time(batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -131,9 +129,26 @@ def score_stream(
     )
 
 
+def volume(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Posts per hour and topic over all batches so far."""
+    partial = spark.read.schema("hour timestamp, topic string, tweet_count long").parquet(out_dir)
+    return partial.groupBy("hour", "topic").agg(F.sum("tweet_count").alias("tweet_count"))
+
+
 class StreamReport(StreamingQueryListener):
     """Counts observed rows and keeps how each query ended, for the run log."""
 
+    @staticmethod
+    def counted(stream: DataFrame) -> DataFrame:
+        return stream.observe("arrived", F.count(F.lit(1)).alias("rows"))
+
+    def total(self, query: StreamingQuery, patience: float = 30.0) -> int:
+        """Rows of an ended query; waits until the events of its end have come in."""
+        deadline = time.monotonic() + patience
+        while str(query.id) not in self.ended and time.monotonic() < deadline:
+            time.sleep(0.05)
+        return self.rows.get(str(query.id), 0)
+
     def __init__(self) -> None:
         self.rows: dict[str, int] = {}
         self.ended: dict[str, str | None] = {}

@@ -4,22 +4,34 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from moodloom.plans import catalog, oracles
 
 SF = "/root/testdata/sf0.001"
-# One of each kind; check.py compares all of them.
-COMPARED = ["ingest_dedup", "stream_rules", "preprocess", "vader_scores", "daily_sentiment", "stratified_split"]
-UNCOMPARED = {"train_lr", "train_svc", "model_metrics", "predict_batch", "scheduled_run", "run_log"}
 
 
-def test_every_query_has_a_twin_but_the_solvers():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == UNCOMPARED
+def test_every_query_has_a_twin():
+    assert set(catalog.QUERIES) == set(oracles.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", COMPARED)
-def test_query_equals_sql(spark, name):
-    df = entry.queries()[name](spark, SF)
-    assert compare(df, connect(SF), entry.oracle_sql()[name]).startswith("ok")
+@pytest.fixture(scope="module")
+def tables():
+    return connect(SF)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_query_equals_sql(spark, tables, name):
+    df = catalog.QUERIES[name](spark, SF)
+    assert compare(df, tables, oracles.oracle_sql()[name]).startswith("ok")
+
+
+def test_reports_shuffle_the_posts_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.daily_sentiment(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(tweet_id") == 1 and "Exchange hashpartitioning(id" not in plan
 
 
 def test_entry(spark):

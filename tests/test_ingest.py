@@ -74,8 +74,24 @@ def test_raw_table_appends_once(spark):
     assert spark.table("raw_test").count() == 2
 
 
+def test_stored_side_of_the_conflict_check_is_not_shuffled(spark):
+    tables.init_raw_table(spark, "raw_stored", buckets=8)
+    batch = ingest.collect(arriving(spark, [(i, str(i), "x") for i in range(50)]))
+    tables.append_new(spark, batch, "raw_stored")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = tables.fresh_rows(spark, batch, "raw_stored")
+        join = fresh._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = join[: join.index("raw_stored")].splitlines()[-4:]
+    assert "Bucketed: true" in join and not any("Exchange" in line for line in stored)
+
+
 def test_bucketed_table_spares_the_exchange(spark):
     tables.init_raw_table(spark, "raw_plan", buckets=4)
+    # Larger than the lemmas, which are then the side that is sent around.
+    tables.append_new(spark, ingest.collect(arriving(spark, [(i, str(i), "word " * 400) for i in range(5000)])), "raw_plan")
     df = spark.table("raw_plan").select("tweet_id", F.split("text", " ").alias("tokens"))
     spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     try:

@@ -84,10 +84,12 @@ def test_train_save_predict_and_run(spark, tmp_path):
 
     lexicon, lemmas = words.seed_lexicon(spark), seed_lemmas(spark)
     labeled = with_sentiment(preprocess(english(posts(spark)), lemmas), lexicon)
-    model, metrics = training.train_models(labeled, lr_iterations=20, svc_iterations=3)
+    gold = labeled.withColumn("gold", F.when(F.col("tweet_id").cast("int") % 3 == 0, F.col("sentiment")).otherwise("neutral"))
+    model, metrics = training.train_models(gold, gold_col="gold")
     rows = {r.model: r for r in metrics.collect()}
     assert rows["Logistic Regression"].is_primary and rows["Logistic Regression"].accuracy == 100
-    assert set(rows) == {"Logistic Regression", "SVM (LinearSVC)", "Naive Bayes"}
+    assert set(rows) == {"Logistic Regression", "SVM (LinearSVC)", "Naive Bayes", "VADER only"}
+    assert 0 < rows["VADER only"].accuracy < 100 and not rows["VADER only"].is_primary
 
     model.save(str(tmp_path / "model"))
     loaded = SentimentModel.load(spark, str(tmp_path / "model"))
@@ -102,9 +104,12 @@ def test_train_save_predict_and_run(spark, tmp_path):
     run = scheduled_run.run(spark, posts(spark), loaded, lexicon, lemmas, out, metrics, fmt="csv").first()
     assert run.success and run.tweet_count == 60 and run.error_msg is None
     counts = {r.table_name: r.rows for r in spark.read.parquet(f"{out}/manifest").collect()}
-    assert counts["Fact_Tweets"] == 60 and counts["Model_Metrics"] == 3
+    assert counts["Fact_Tweets"] == 60 and counts["Model_Metrics"] == 4
     empty = scheduled_run.run(spark, posts(spark).where(F.lit(False)), loaded, lexicon, lemmas, out).first()
     assert empty.success and empty.tweet_count == 0
+    # Texts are split into words for the scores once.
+    plan = scheduled_run.label_posts(posts(spark), loaded, lexicon, lemmas)._jdf.queryExecution().toString()
+    assert "posexplode" not in plan and plan.count("Scan parquet") >= 1
     failed = scheduled_run.run(spark, texts, loaded, lexicon, lemmas, out).first()
     assert not failed.success and failed.error_msg
     assert spark.read.parquet(f"{out}/runs").count() == 3

@@ -141,17 +141,43 @@ def test_emoji_descriptions(spark):
     assert got == ["grinning face!!", "so grinning face face with tears of joy ok", "plain"]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scores_shuffle_one_row_per_text(spark):
     df = spark.createDataFrame([("1", "love")], "tweet_id string, clean_text string")
-    plan = s.sentiment_scores(df, words.seed_lexicon(spark))._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(s.sentiment_scores(df, words.seed_lexicon(spark)))
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
 
 
-def test_large_lexicon_is_not_broadcast_by_hint(spark):
-    from moodloom.session import broadcast_if_small
-
-    def hinted(max_rows):
-        plan = broadcast_if_small(spark.range(100), max_rows)._jdf.queryExecution().logical()
-        return "hint" in plan.toString().lower()
-
-    assert hinted(100) and not hinted(50)
+def test_columns_travel_with_the_scores(spark):
+    rows = [("1", "love it", 7, None), ("2", "", 8, "x"), ("3", None, None, "y")]
+    df = spark.createDataFrame(rows, "tweet_id string, clean_text string, a int, b string")
+    scored = s.with_sentiment(df.repartition("tweet_id"), words.seed_lexicon(spark))
+    got = {r.tweet_id: (r.clean_text, r.a, r.b, r.sentiment) for r in scored.collect()}
+    assert got == {"1": ("love it", 7, None, "positive"), "2": ("", 8, "x", "neutral"), "3": (None, None, "y", "neutral")}
+    # Nothing is joined back, and the input's own partitioning is enough.
+    plan = plan_of(s.with_sentiment(df.repartition("tweet_id"), words.seed_lexicon(spark)))
+    assert plan.count("Exchange hashpartitioning(tweet_id") == 1 and "SortMergeJoin" not in plan
+
+
+def test_large_lexicon_is_joined_by_shuffle(spark):
+    texts = ["not good bad", "", "so GREAT !!", "love no hate but good"] * 3
+    expected = score(spark, texts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([("1", "love")], "tweet_id string, clean_text string")
+        assert "BroadcastHashJoin" not in plan_of(s.sentiment_scores(df, words.seed_lexicon(spark)))
+        assert score(spark, texts) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_lexicon_file_keeps_keys_and_the_last_value(spark, tmp_path):
+    path = tmp_path / "lexicon.txt"
+    path.write_text(":D\t2.3\t0.5\t[1]\n:d\t1.2\t0.1\nGood\t9\nbad\t-2\nbad\t-1\nno value\n\"quoted\t1\n")
+    got = {r.token: r.valence for r in words.load_lexicon(spark, str(path)).collect()}
+    assert got == {":D": 2.3, ":d": 1.2, "Good": 9.0, "bad": -1.0, '"quoted': 1.0}

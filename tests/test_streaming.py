@@ -3,9 +3,17 @@ import time
 
 from pyspark.sql import functions as F
 
+import pytest
+
+from moodloom.functions import dictionaries as words
 from moodloom.operators.ingest import with_topic
-from moodloom.schemas import RAW_TWEETS
+from moodloom.operators.preprocess import seed_lemmas
+from moodloom.plans import catalog
+from moodloom.sources.tables import init_raw_table
 from moodloom.streaming import posts as stream
+from moodloom.streaming import runs
+
+SF = "/root/testdata/sf0.001"
 
 
 def write_files(folder, batches):
@@ -33,28 +41,37 @@ def test_ingest_across_batches(spark, tmp_path):
     report = stream.StreamReport()
     spark.streams.addListener(report)
     source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
-    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
-    query = stream.ingest_stream(source, out, bad, str(tmp_path / "progress")).start()
+    bad = str(tmp_path / "bad")
+    init_raw_table(spark, "raw_batches", 4, str(tmp_path / "out"))
+    query = stream.ingest_stream(source, "raw_batches", bad, str(tmp_path / "progress")).start()
     query.awaitTermination()
-    rows = spark.read.schema(RAW_TWEETS).parquet(out).orderBy("arrival_seq").collect()
+    rows = spark.table("raw_batches").orderBy("arrival_seq").collect()
     assert [(r.arrival_seq, r.tweet_id, r.lang, r.topic) for r in rows] == [
         (1, "a", "en", "Sports"), (3, "b", "en", "Sports"), (7, "d", "en", "Sports"),
     ]
     assert rows[0].like_count == 0 and rows[0].collected_at is not None
     assert spark.read.parquet(bad).count() == 2
-    deadline = time.time() + 20
-    while str(query.id) not in report.ended and time.time() < deadline:
-        time.sleep(0.1)
+    assert report.total(query) == 8 and report.ended[str(query.id)] is None
     spark.streams.removeListener(report)
-    assert report.rows[str(query.id)] == 8 and report.ended[str(query.id)] is None
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path):
+    source = spark.createDataFrame([(1, "a", "hello"), (2, None, "x")], "arrival_seq long, tweet_id string, text string")
+    for name, kind in (("username", "string"), ("lang", "string"), ("retweet_count", "int"), ("like_count", "int"), ("created_at", "timestamp")):
+        source = source.withColumn(name, F.lit(None).cast(kind))
+    init_raw_table(spark, "raw_repeated", 4, str(tmp_path / "out"))
+    write = stream.ingest_batch("raw_repeated", str(tmp_path / "bad"))
+    for _ in range(2):
+        write(source, 7)
+    assert spark.table("raw_repeated").count() == 1 and spark.read.parquet(str(tmp_path / "bad")).count() == 1
 
 
 def test_ingest_stops_at_target(spark, tmp_path):
     write_files(tmp_path / "in", [[post(1, "a"), post(2, "b")], [post(3, "c"), post(4, "d")]])
     source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
-    out = str(tmp_path / "out")
-    stream.ingest_stream(source, out, str(tmp_path / "bad"), str(tmp_path / "p"), target=3).start().awaitTermination()
-    assert [r.tweet_id for r in spark.read.parquet(out).orderBy("arrival_seq").collect()] == ["a", "b", "c"]
+    init_raw_table(spark, "raw_target", 4, str(tmp_path / "out"))
+    stream.ingest_stream(source, "raw_target", str(tmp_path / "bad"), str(tmp_path / "p"), target=3).start().awaitTermination()
+    assert [r.tweet_id for r in spark.table("raw_target").orderBy("arrival_seq").collect()] == ["a", "b", "c"]
 
 
 def test_dedup_state_spans_batches(spark, tmp_path):
@@ -68,24 +85,75 @@ def test_dedup_state_spans_batches(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
 
 
-def test_volume_equals_batch_counts(spark, tmp_path):
-    write_files(tmp_path / "in", [[post(1, "a"), post(2, "b", hour=2)], [post(3, "c"), post(4, "d", "x", 2)]])
+def test_volume_sums_batches(spark, tmp_path):
+    write_files(tmp_path / "in", [[post(1, "a", hour=9), post(2, "b", hour=2)], [post(3, "c"), post(4, "d", "x", 2), post(5, "e", hour=9)]])
     source = with_topic(stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1))
-    seen = []
-    query = (
-        stream.volume_stream(source, "1 day").writeStream.outputMode("update")
-        .foreachBatch(lambda df, i: seen.extend(df.collect()))
-        .option("checkpointLocation", str(tmp_path / "p")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    last = {(r.hour.hour, r.topic): r.tweet_count for r in seen}
-    assert last == {(1, "Sports"): 2, (2, "Sports"): 1, (2, "General"): 1}
-
-
-def test_scores_of_a_repeated_batch_replace_themselves(spark, tmp_path):
-    write_files(tmp_path / "in", [[post(1, "a")], [post(2, "b")]])
-    source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
     out = str(tmp_path / "out")
-    score = lambda df: df.select("tweet_id", F.length("text").alias("n"))
-    stream.score_stream(source, score, out, str(tmp_path / "p")).start().awaitTermination()
-    assert sorted(r.tweet_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
+    stream.volume_stream(source, out, str(tmp_path / "p")).start().awaitTermination()
+    got = {(r.hour.hour, r.topic): r.tweet_count for r in stream.volume(spark, out).collect()}
+    assert got == {(9, "Sports"): 2, (2, "Sports"): 1, (1, "Sports"): 1, (2, "General"): 1}
+
+
+@pytest.fixture(scope="module")
+def four_files(spark, tmp_path_factory):
+    """The smallest tables with ``events`` as a folder of files in mixed time order; a pair of copies stays in a file."""
+    folder = tmp_path_factory.mktemp("tables")
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("part", F.floor(F.col("event_id") / 2) * 7 % 4)
+    (folder / "events.parquet").mkdir()
+    for part in (2, 0, 3, 1):
+        piece = folder / f"part{part}"
+        events.where(F.col("part") == part).drop("part").coalesce(1).write.parquet(str(piece))
+        (next(piece.glob("part-*.parquet"))).rename(folder / "events.parquet" / f"{part}.parquet")
+    spark.read.parquet(f"{SF}/documents.parquet").write.parquet(str(folder / "documents.parquet"))
+    return str(folder)
+
+
+def same_rows(a, b):
+    columns = sorted(a.columns)
+    return sorted(map(repr, a.select(columns).collect())) == sorted(map(repr, b.select(columns).collect()))
+
+
+def test_streams_of_several_files_equal_their_batch_forms(spark, four_files, monkeypatch):
+    monkeypatch.setattr(catalog, "FILES_PER_BATCH", 1)
+    assert spark.read.parquet(f"{four_files}/events.parquet").count() == 1000
+    volume = catalog.stream_volume(spark, four_files)
+    assert same_rows(volume, catalog.volume_over_time(spark, SF))
+    assert volume.agg(F.sum("tweet_count")).first()[0] == 1000
+    ids = [r.tweet_id for r in catalog.stream_dedup(spark, four_files).collect()]
+    assert len(ids) == len(set(ids)) == 980
+    raw = catalog.collected(spark, SF).select("arrival_seq", "tweet_id", "topic", "lang", "retweet_count", "like_count")
+    assert same_rows(catalog.stream_ingest(spark, four_files), raw)
+
+
+def test_incremental_run_equals_the_batch_form(spark, four_files, tmp_path):
+    expected = catalog.vader_label(spark, SF)
+    model = catalog._saved_model(spark, SF)
+    lexicon, lemmas = words.seed_lexicon(spark), seed_lemmas(spark)
+    init_raw_table(spark, "raw_incremental", 4, str(tmp_path / "raw"))
+    out = str(tmp_path / "out")
+    metrics = spark.createDataFrame([("m", 1.0)], "model string, accuracy double")
+
+    def run():
+        source = stream.read_posts_stream(spark, four_files, files_per_batch=1)
+        return runs.run_pending(source, "raw_incremental", model, lexicon, lemmas, out, metrics).first()
+
+    log = run()
+    assert (log.success, log.tweet_count, log.error_msg) == (True, 1000, None)
+    labeled = spark.read.parquet(f"{out}/labeled")
+    assert labeled.select("batch_id").distinct().count() == 4
+    assert same_rows(labeled.select("tweet_id", "vader_compound", F.col("vader_sentiment").alias("sentiment")), expected)
+    counts = {r.table_name: r.rows for r in spark.read.parquet(f"{out}/manifest").collect()}
+    assert counts["Fact_Tweets"] == 819 and counts["Model_Metrics"] == 1 and len(counts) == 5
+    # Nothing new waits: nothing is labeled again. A batch that comes twice finds its rows written.
+    again = run()
+    assert (again.success, again.tweet_count) == (True, 0) and labeled.count() == 819
+    batch = catalog.posts(spark, SF).limit(0)
+    runs.label_batch("raw_incremental", model, lexicon, lemmas, out)(batch, 0)
+    assert spark.read.parquet(f"{out}/labeled").count() == 819 and spark.table("raw_incremental").count() == 923
+    assert spark.read.parquet(f"{out}/runs").count() == 2
+
+
+def test_failure_of_an_incremental_run_is_logged(spark, four_files, tmp_path):
+    source = stream.read_posts_stream(spark, four_files)
+    log = runs.run_pending(source, "no_such_table", None, None, None, str(tmp_path / "out")).first()
+    assert not log.success and "no_such_table" in log.error_msg

@@ -31,6 +31,20 @@ def test_clean_text(spark):
     assert apply(spark, tx.clean_text, cases.keys()) == list(cases.values())
 
 
+def test_words_and_lemmas_by_hand(spark):
+    texts = ["RT @a: The CITIES' policies... https://x.y 8D", "Sooooo happyyyyy women & mice!!", "#MLmodels don't stop"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "tweet_id string, text string")
+    rows = preprocess(df, seed_lemmas(spark), min_words=None).orderBy("tweet_id").collect()
+    assert [r.clean_text for r in rows] == ["RT The CITIES' policies 8D", "Sooooo happyyyyy women mice", "MLmodels don't stop"]
+    assert [r.tokens for r in rows] == [["city", "policy"], ["sooo", "happyyy", "woman", "mouse"], ["mlmodels", "stop"]]
+
+
+def test_word_file(spark, tmp_path):
+    path = tmp_path / "words.txt"
+    path.write_text(" cat \n\ndog\n")
+    assert sorted(r.token for r in words.load_words(spark, str(path)).collect()) == ["cat", "dog"]
+
+
 def test_clean_text_is_idempotent(spark):
     once = apply(spark, tx.clean_text, ["RT @a: #b &amp; c'd http://x  😀", "ÀÉ_ß  ½ x"])
     assert apply(spark, tx.clean_text, once) == once
