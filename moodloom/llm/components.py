@@ -11,8 +11,9 @@ from moodloom.session import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are tied to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "v")
+    # Edges run from the larger node u to the smaller v, so these are v's larger neighbours.
+    return edges.join(least, "v").select("u", F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
