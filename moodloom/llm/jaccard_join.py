@@ -9,14 +9,15 @@
    pairs of chunks, so no task holds more than two chunks. In a tile the bits in which
    two bitmaps differ bound the overlap from above:
    |A & B| <= (|A| + |B| - differing bits) / 2. Pairs that fail are dropped unseen.
-3. Of the pairs that pass, each tile first names a spanning forest, and only these pairs
-   are verified, by intersecting the sorted arrays. A group of n near copies thus costs about n
-   checks, not n^2. Components of the true links are formed, and in tiles that still hold several
-   components, every passing pair between two of them is verified as well. So any
-   linked pair is verified or already in one component.
-
-A pair at the similarity s shares no minimum with probability (1 - s)^TOKENS: 3e-17 at 0.8, less
-than that of a hash collision. No tile, partner or candidate is capped.
+3. Of the pairs that pass, each tile first names a spanning forest of stars around documents in random
+   order, other ones in each tile, and only these pairs are verified, by intersecting the sorted
+   arrays. A group of n near copies thus costs some n checks, not n^2. Components of the true links
+   are formed, and tiles that still hold several components get the arrays themselves: every
+   passing pair between two components is verified there, in the first of its tiles, and only
+   links leave the tile. So any linked pair is verified or already in one component.
+
+A pair at the similarity s shares no minimum with probability (1 - s)^TOKENS: 1e-14 at 0.8, which
+takes the place of a hash collision's. No tile, partner or candidate is capped.
 """
 
 from __future__ import annotations
@@ -35,11 +36,12 @@ from moodloom.llm.components import components
 from moodloom.session import materialize
 
 WORDS = 5
-TOKENS = 24
+TOKENS = 20
 TILE = 4_096
 GROUP = 512  # partners of one document that a task verifies
 FIRST_TOKENS = 2  # minima whose forests are verified first
 REMEMBERED = 500_000
+BROADCAST_ROWS = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(7)
@@ -100,8 +102,7 @@ def signatures(docs: DataFrame, id_col: str, words: int) -> DataFrame:
                 s = shingle(text.as_py())
                 if len(s):
                     name = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist()
-                    least = (s[None, :] * _PERMUTE[:, None]).min(axis=1).view(np.int64)
-                    rows.append((len(s), *name, bitmap(s), least.tolist()))
+                    rows.append((len(s), *name, bitmap(s), minima(s).tolist()))
                 else:
                     rows.append((0, None, None, None, None))
             n, hi, lo, bits, tokens = zip(*rows) if rows else ([],) * 5
@@ -129,60 +130,88 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tupl
         yield list(group)
 
 
-def passing_pairs(sizes: np.ndarray, bitmaps: list[bytes], num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For rows sorted by size: each i, and the j > i whose overlap bound reaches the similarity num / den."""
-    width = np.array([len(b) for b in bitmaps])
-    for w in np.unique(width).tolist():
-        own = np.flatnonzero(width == w)
-        # A partner is at most den / num times as large, so its bitmap is as wide or twice as wide.
-        wider = np.flatnonzero(width == 2 * w)
-        wider = wider[sizes[wider] * num <= sizes[own[-1]] * den]
-        rows = np.concatenate([own, wider])
-        bits = np.frombuffer(b"".join(bitmaps[i] for i in own), np.uint64).reshape(len(own), -1)
-        if len(wider):
-            both = np.frombuffer(b"".join(bitmaps[i] for i in wider), np.uint64).reshape(len(wider), 2, -1)
-            bits = np.concatenate([bits, both[:, 0] | both[:, 1]])
-        n = sizes[rows]
-        for a in range(len(own)):
-            end = np.searchsorted(n, n[a] * den // num, side="right")
-            if end <= a + 1:
-                continue
-            differ = np.bitwise_count(bits[a + 1 : end] ^ bits[a]).sum(axis=1, dtype=np.int64)
-            both_sizes = n[a] + n[a + 1 : end]
-            bound = (both_sizes - differ) // 2
-            yield int(rows[a]), rows[a + 1 : end][(num + den) * bound >= num * both_sizes]
-
-
-def tile_pairs(tiles: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
-    """(j, a, b) of the tiles' rows: a spanning forest of the passing pairs between components, or all of them.
-
-    Rows: tile keys (j, token, band, low, high), n, node, component, bits, visitor, chunk.
-    """
+class Tile:
+    """Rows sorted by size with their bitmaps, for the overlap bound."""
+
+    def __init__(self, sizes: np.ndarray, bitmaps: list[bytes], num: int, den: int):
+        self.sizes, self.num, self.den = sizes, num, den
+        width = np.array([len(b) for b in bitmaps])
+        # Bitmaps grow with the size, so rows of one width are neighbours. A partner is at most den / num
+        # times as large, and its bitmap as wide or twice as wide; folding halves a bitmap.
+        self.runs = {}
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width == w)
+            bits = np.frombuffer(b"".join(bitmaps[i] for i in own), np.uint64).reshape(len(own), -1)
+            half = bits.reshape(len(own), 2, -1) if w > 8 else None
+            self.runs[w] = (int(own[0]), bits, None if half is None else half[:, 0] | half[:, 1])
+        self.width = width
+
+    def partners(self, i: int, among: np.ndarray) -> np.ndarray:
+        """Of the rows ``among``, sorted, those whose overlap bound with row i reaches the similarity."""
+        sizes, num, den = self.sizes, self.num, self.den
+        low, high = np.searchsorted(sizes[among], [-(-sizes[i] * num // den), sizes[i] * den // num + 1])
+        among = among[low:high]
+        found = []
+        w = int(self.width[i])
+        for other in np.unique(self.width[among]).tolist():
+            rows = among[self.width[among] == other]
+            start, bits, folded = self.runs[other]
+            own_start, own_bits, own_folded = self.runs[w]
+            at, own = rows - start, i - own_start
+            if other == w:
+                differ = bits[at] ^ own_bits[own]
+            elif other == 2 * w:
+                differ = folded[at] ^ own_bits[own]
+            else:
+                differ = bits[at] ^ own_folded[own]
+            both = sizes[i] + sizes[rows]
+            bound = (both - np.bitwise_count(differ).sum(axis=1, dtype=np.int64)) // 2
+            found.append(rows[(num + den) * bound >= num * both])
+        return np.concatenate(found) if found else among
+
+
+TILE_KEYS = ["j", "token", "band", "low", "high"]
+TILE_COLUMNS = [*TILE_KEYS, "n", "node", "component", "visitor", "chunk"]
+
+
+def _dealt(tiles: DataFrame, data: str) -> DataFrame:
+    rows = tiles.select(*TILE_COLUMNS, data).repartition(*TILE_KEYS)
+    return rows.sortWithinPartitions(*TILE_KEYS, "n", "node")
+
+
+def _open_pairs(label, visits, chunks, split: bool, i: int) -> np.ndarray:
+    """Mask of the rows that may pair with row i: of another component, and not met in another tile."""
+    among = label != label[i]
+    if visits[i]:
+        among &= ~visits
+    if split:
+        among &= chunks != chunks[i]
+    return among
+
+
+def tile_forests(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """(j, a, b): a spanning forest of each tile's passing pairs between components, of stars in random order."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
         for rows in _grouped(batches, 5):
             if len(rows) < 2:
                 continue
-            j, _, _, low, high = rows[0][:5]
-            n, node, component, bits, visitor, chunk = zip(*[r[5:] for r in rows])
+            j, token, _, low, high = rows[0][:5]
+            n, node, component, visitor, chunk, bits = zip(*[r[5:] for r in rows])
             label = np.unique(np.array(component), return_inverse=True)[1]
             if label.max() == 0:
                 continue
             visits, chunks = np.array(visitor), np.array(chunk)
-            for i, partners in passing_pairs(np.array(n, np.int64), list(bits), num, den):
-                partners = partners[label[partners] != label[i]]
-                if visits[i]:
-                    partners = partners[~visits[partners]]
-                if low != high:
-                    partners = partners[chunks[partners] != chunks[i]]
-                if whole:
-                    found += [(j, node[i], node[p]) for p in partners.tolist()]
-                    continue
-                for p in partners.tolist():
+            tile = Tile(np.array(n, np.int64), list(bits), num, den)
+            for i in np.random.default_rng(abs(token) + j).permutation(len(rows)).tolist():
+                among = _open_pairs(label, visits, chunks, low != high, i)
+                for p in tile.partners(i, np.flatnonzero(among)).tolist():
                     if label[p] != label[i]:
                         found.append((j, node[i], node[p]))
                         label[label == label[p]] = label[i]
+                if label[0] == label[-1] and (label == label[0]).all():
+                    break
             if len(found) > 10_000:
                 yield _rows(found)
                 found = []
@@ -194,10 +223,45 @@ def tile_pairs(tiles: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
             [pa.array(j, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["j", "a", "b"]
         )
 
-    keys = ["j", "token", "band", "low", "high"]
-    columns = [*keys, "n", "node", "component", "bits", "visitor", "chunk"]
-    dealt = tiles.select(*columns).repartition(*keys).sortWithinPartitions(*keys, "n", "node")
-    return dealt.mapInArrow(pairs, "j int, a bigint, b bigint")
+    return _dealt(tiles, "bits").mapInArrow(pairs, "j int, a bigint, b bigint")
+
+
+def minima(shingles: np.ndarray) -> np.ndarray:
+    """The least hash of the set under each permutation."""
+    return (shingles[None, :] * _PERMUTE[:, None]).min(axis=1).view(np.int64)
+
+
+def tile_links(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): the links between components in each tile, verified on the rows' ``shingles``."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a: list[int] = []
+        b: list[int] = []
+        for rows in _grouped(batches, 5):
+            j, _, _, low, high = rows[0][:5]
+            n, node, component, visitor, chunk, data = zip(*[r[5:] for r in rows])
+            label = np.unique(np.array(component), return_inverse=True)[1]
+            if label.max() == 0:
+                continue
+            visits, chunks = np.array(visitor), np.array(chunk)
+            sets = [np.frombuffer(d, np.uint64) for d in data]
+            least = np.stack([minima(s) for s in sets])
+            tile = Tile(np.array(n, np.int64), [bitmap(s) for s in sets], num, den)
+            for i in range(len(rows)):
+                among = _open_pairs(label, visits, chunks, low != high, i)
+                among[: i + 1] = False
+                # A pair that met in a tile before was verified there.
+                among[among] = ~(least[among, :j] == least[i, :j]).any(axis=1)
+                for p in tile.partners(i, np.flatnonzero(among)).tolist():
+                    common = len(np.intersect1d(sets[i], sets[p], assume_unique=True))
+                    if label[p] != label[i] and (num + den) * common >= num * (n[i] + n[p]):
+                        a.append(node[i])
+                        b.append(node[p])
+                        label[label == label[p]] = label[i]
+        # A forest at most for each tile.
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return _dealt(tiles, "shingles").mapInArrow(links, "a bigint, b bigint")
 
 
 def deal_tiles(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -257,9 +321,9 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
     part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")
     dealt = pairs.join(counts, "a").select("a", part.alias("part"), "b")
-    partners = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "shingles")
+    partners = dealt.join(sets.select(F.col("node").alias("b"), "shingles"), "b").select("a", "part", "b", "shingles")
     pivots = counts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-    pivots = pivots.join(sets.withColumnRenamed("node", "a"), "a").select(
+    pivots = pivots.join(sets.select(F.col("node").alias("a"), "shingles"), "a").select(
         "a", F.col("part").cast("int").alias("part"), F.lit(None).cast("long").alias("b"), "shingles"
     )
     rows = partners.unionByName(pivots).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
@@ -267,7 +331,7 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, words: int) -> DataFrame:
-    """(node, shingles) of the documents named in ``nodes``: the sorted hashes as bytes."""
+    """(node, hi, shingles) of the documents named in ``nodes``: the sorted hashes as bytes, and half their own hash."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
@@ -275,10 +339,14 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, words: int) ->
             for low in range(0, batch.num_rows, 1000):
                 part = batch.slice(low, 1000)
                 data = [shingle(t.as_py()).tobytes() for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(data, pa.binary())], names=["node", "shingles"])
+                names = [int(np.frombuffer(xxhash.xxh3_128_digest(d), np.int64)[0]) for d in data]
+                columns = [part.column(0), pa.array(names, pa.int64()), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "hi", "shingles"])
 
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    return texts.mapInArrow(cut, "node bigint, shingles binary")
+    # While they are few, the ids go to the texts, else both are shuffled.
+    few = F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), "text").join(few, "node", "left_semi")
+    return texts.mapInArrow(cut, "node bigint, hi bigint, shingles binary")
 
 
 def jaccard_components(
@@ -300,31 +368,35 @@ def jaccard_components(
         F.min("doc").alias("node"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("tokens").alias("tokens")
     )
     classes = materialize(classes, "classes")
-    met = classes.select("node", "n", "bits", F.posexplode("tokens").alias("j", "token"))
+    met = classes.select("node", "hi", F.posexplode("tokens").alias("j", "token"))
     shared = met.groupBy("j", "token").agg(F.count("*").alias("size")).where("size > 1")
-    members = materialize(met.join(shared, ["j", "token"]), "members")
+    # Most minima are met once; the bitmaps go to what is left.
+    members = met.join(shared.hint("merge"), ["j", "token"]).join(
+        classes.select("node", "hi", "n", "bits"), ["node", "hi"]
+    )
+    members = materialize(members, "members")
 
     tiles = deal_tiles(members.withColumn("component", F.col("node")), num, den)
-    forest = materialize(tile_pairs(tiles, num, den, whole=False).groupBy("a", "b").agg(F.min("j").alias("j")), "forest")
-    nodes = forest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    forest = materialize(tile_forests(tiles, num, den).groupBy("a", "b").agg(F.min("j").alias("j")), "forest")
+    nodes = materialize(forest.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     sets = materialize(shingle_sets(docs, nodes, id_col, words), "sets")
 
-    # Rows of one id are one node: its classes are tied to it.
     links = materialize(verify(forest.where(F.col("j") < FIRST_TOKENS).select("a", "b"), sets, num, den), "links")
     found = components(links)
     rest = forest.where(F.col("j") >= FIRST_TOKENS).select("a", "b")
-    links = links.unionByName(materialize(verify(between(rest, found), sets, num, den), "links"))
-    found = components(links)
+    links = materialize(verify(between(rest, found), sets, num, den), "links")
+    found = components(links.unionByName(_stars(found)))
 
-    # What the forests left open: tiles with several components, their passing pairs all.
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    suspects = placed.join(nodes, "node", "left_semi")
-    mixed = suspects.groupBy("j", "token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    # What the forests left open: tiles that hold several components.
+    narrow = members.select("j", "token", "size", "node", "hi", "n").join(nodes, "node", "left_semi")
+    placed = narrow.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("j", "token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     mixed = mixed.where("x <> y").select("j", "token")
-    open_tiles = deal_tiles(suspects.join(mixed, ["j", "token"]), num, den)
-    again = tile_pairs(open_tiles, num, den, whole=True).select("a", "b").distinct().join(forest, ["a", "b"], "left_anti")
-    links = links.unionByName(materialize(verify(materialize(again, "again"), sets, num, den), "links"))
-    found = components(links)
+    open_tiles = deal_tiles(placed.join(mixed, ["j", "token"]), num, den).join(
+        sets.dropDuplicates(["node", "hi"]), ["node", "hi"]
+    )
+    links = materialize(tile_links(open_tiles, num, den), "links")
+    found = components(links.unionByName(_stars(found)))
 
     named = classes.select("hi", "lo", "node")
     own = usable.select("doc", "hi", "lo").join(named, ["hi", "lo"]).select(F.col("doc").alias("a"), F.col("node").alias("b"))
@@ -336,7 +408,7 @@ def jaccard_components(
     member = materialize(member, "member")
     twice = member.where("component <> most")
     if not twice.isEmpty():
-        found = components(own.unionByName(links))
+        found = components(own.unionByName(_stars(found)))
         member = found.select(F.col("node").alias("a"), "component")
     result = signed.join(member.select("a", "component"), F.col("doc").cast("long") == F.col("a"), "left")
     return result.select(
@@ -346,6 +418,11 @@ def jaccard_components(
     )
 
 
+def _stars(found: DataFrame) -> DataFrame:
+    """Components as edges, one for each node."""
+    return found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def between(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     x = found.select(F.col("node").alias("a"), F.col("component").alias("x"))
