@@ -1,5 +1,7 @@
 """Registered queries against their SQL twins on the smallest tables."""
 
+import functools
+
 import pytest
 
 import __spark_entry__ as entry
@@ -19,6 +21,15 @@ def tables():
     return connect(SF)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_model():
+    """The queries that only apply a model share one."""
+    saved = functools.cache(catalog._saved_model)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog, "_saved_model", saved)
+        yield
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, tables, name):
     df = catalog.QUERIES[name](spark, SF)
