@@ -29,10 +29,8 @@ from moodloom.streaming.runs import run_pending
 
 # The collection target of the capped query; the other queries have none.
 CAP = 500
-# Buckets of the raw table at the size of the given tables.
-BUCKETS = 8
-# So that tables of several files reach the streams in several batches.
-FILES_PER_BATCH = 2
+# Files of a table that one batch of a stream takes; all that wait if None.
+FILES_PER_BATCH = None
 
 
 def joined(items: Column) -> Column:
@@ -397,8 +395,9 @@ def run_log(spark, sf):
 
 
 def _raw_table(spark) -> str:
+    """A new raw table with a bucket for each shuffle partition, which are chosen for the data's size."""
     name = f"raw_{uuid.uuid4().hex}"
-    init_raw_table(spark, name, BUCKETS, workspace(spark, "raw"))
+    init_raw_table(spark, name, int(spark.conf.get("spark.sql.shuffle.partitions")), workspace(spark, "raw"))
     return name
 
 
