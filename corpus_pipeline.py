@@ -54,10 +54,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_pieces, score, ids, others, decoded): piece ids of the kept texts and what they decode to."""
     vocabulary = sentence_pieces.load_vocabulary(PIECES)
-    encoded = sentence_pieces.encode(docs, vocabulary)
-    decoded = sentence_pieces.decode(encoded, vocabulary)
+    encoded = sentence_pieces.encode(docs, vocabulary, decoded=True)
     n_pieces = F.size("ids").cast("long").alias("n_pieces")
-    return decoded.select("doc_id", n_pieces, "score", "ids", "others", "decoded")
+    return encoded.select("doc_id", n_pieces, "score", "ids", "others", "decoded")
 
 
 STAGES = [

@@ -32,9 +32,7 @@ def op1_sentence_pieces(spark, sf_dir, model_file=PIECES):
     """Best and next segmentations of whole texts, and whether the best decodes to the text."""
     docs = table(spark, sf_dir, "documents")
     vocabulary = sentence_pieces.load_vocabulary(model_file)
-    encoded = sentence_pieces.encode(docs.select("doc_id", "text"), vocabulary)
-    texts = sentence_pieces.decode(encoded.withColumn("n_best", F.size("others") + 1), vocabulary)
-    return texts.select(
+    return sentence_pieces.encode(docs, vocabulary, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         "score",

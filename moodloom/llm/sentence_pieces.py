@@ -34,10 +34,10 @@ from moodloom.llm.token_counts import SPACE, chunks
 
 N_BEST = 3
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 600_000
-SEARCHED = 50_000
+REMEMBERED = 250_000
+SEARCHED = 20_000
 LONG = 48  # longer words are few; they are solved one by one
-ROWS = 1_000
+ROWS = 500
 UNKNOWN = -1
 
 
@@ -347,20 +347,45 @@ _EDIT = pa.struct([("at", pa.int32()), ("drop", pa.int32()), ("ids", pa.list_(pa
 _OTHERS = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(_EDIT))]))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, n_best: int = N_BEST, id_col: str = "doc_id") -> DataFrame:
+class Decoder:
+    """The text that a sequence of ids spells."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.parts = [b""] * vocabulary.size
+        for text, i in vocabulary.pieces.items():
+            self.parts[i] = text.encode()
+        for byte, i in enumerate(vocabulary.byte_ids):
+            self.parts[i] = bytes([byte])
+
+    def __call__(self, ids: np.ndarray) -> str:
+        parts = self.parts
+        known = ids[(ids >= 0) & (ids < len(parts))].tolist()
+        text = b"".join([parts[i] for i in known]).decode("utf-8", "replace")
+        return text[1:] if text[:1] == " " else text
+
+
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    n_best: int = N_BEST,
+    id_col: str = "doc_id",
+    decoded: bool = False,
+) -> DataFrame:
     """(id, score, ids, others): the best segmentation of each whole text and the next ``n_best`` - 1.
 
     ``others`` lists the latter, best first, each with its score and its edits of ``ids``: at place
     ``at``, ``drop`` ids are replaced by ``ids``. A text with fewer segmentations has fewer.
     Equal scores come in a fixed order. A null text has null ids and score and no others, an empty one no
     ids and the score 0. Repeated rows are encoded one by one, other columns are ignored,
-    and an empty table gives an empty result.
+    and an empty table gives an empty result. With ``decoded``, a column of that name holds what ``decode``
+    makes of the ids, without a second pass over them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # as large as the vocabulary
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
+        spell = Decoder(shared.value)
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 part = batch.slice(low, ROWS)
@@ -376,20 +401,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n_best: int = N_BEST, id_col
                     scores.append(float(encoder.best[numbers].sum()))
                     ids.append(encoder.best_ids(numbers))
                     others.append(encoder.others(own, numbers, n_best) if n_best > 1 else [])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(scores, pa.float64()),
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array(others, _OTHERS),
-                    ],
-                    names=[id_col, "score", "ids", "others"],
-                )
+                columns = [
+                    part.column(0),
+                    pa.array(scores, pa.float64()),
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array(others, _OTHERS),
+                ]
+                if decoded:
+                    columns.append(pa.array([None if i is None else spell(i) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = (
         f"`{id_col}` {id_type}, score double, ids array<int>, "
         "others array<struct<score:double,edits:array<struct<at:int,drop:int,ids:array<int>>>>>"
-    )
+    ) + ", decoded string" * decoded
+    names = [id_col, "score", "ids", "others", *["decoded"] * decoded]
     return docs.select(F.col(id_col), F.col("text")).mapInArrow(work, schema)
 
 
@@ -408,33 +434,21 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     Null ids give null, no ids an empty text; ids outside the vocabulary, control ids and null ids
     spell nothing; bytes that are no UTF-8 become U+FFFD. A column named ``decoded`` is replaced.
     """
-    spelled = [b""] * vocabulary.size
-    for text, i in vocabulary.pieces.items():
-        spelled[i] = text.encode()
-    for byte, i in enumerate(vocabulary.byte_ids):
-        spelled[i] = bytes([byte])
-    shared = rows.sparkSession.sparkContext.broadcast(spelled)
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
     kept = rows.drop("decoded")
     schema = T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())])
     names = [*kept.columns, "decoded"]
     place = names.index("ids")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = shared.value
-        size = len(parts)
+        spell = Decoder(shared.value)
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 piece = batch.slice(low, ROWS)
                 texts = []
                 for value in piece.column(place):
                     ids = value.values
-                    if ids is None:
-                        texts.append(None)
-                        continue
-                    ids = ids.drop_null().to_numpy(zero_copy_only=False)
-                    ids = ids[(ids >= 0) & (ids < size)].tolist()
-                    text = b"".join([parts[i] for i in ids]).decode("utf-8", "replace")
-                    texts.append(text[1:] if text[:1] == " " else text)
+                    texts.append(None if ids is None else spell(ids.drop_null().to_numpy(zero_copy_only=False)))
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, pa.array(texts, pa.string())], names=names
                 )

@@ -50,6 +50,7 @@ def test_round_trip(spark, vocabulary):
     assert encoded.columns == ["doc_id", "score", "ids", "others"]
     got = {r.doc_id: r for r in sp.decode(encoded, vocabulary).collect()}
     assert [got[i].decoded for i in range(len(texts))] == texts
+    assert {r.doc_id: r.decoded for r in sp.encode(df, vocabulary, decoded=True).collect()} == dict(enumerate(texts))
     assert got[0].ids is None and got[0].score is None and got[1].ids == [] and got[1].score == 0
     assert sp.encode(df.limit(0), vocabulary).count() == 0
 
