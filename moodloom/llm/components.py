@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from moodloom.session import materialize
@@ -31,13 +31,16 @@ def components(edges: DataFrame) -> DataFrame:
     (a = a) and nulls are ignored. Every round is written, so a lost executor costs one round.
     """
     state = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    state = materialize(state.where("a <> b").distinct(), "edges")
-    before = None
+    state, before = state.where("a <> b"), None
     while True:
-        state = materialize(_small_star(_large_star(state)), "stars")
-        after = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
-        if after == before:
+        # The count and the checksum come with the write.
+        seen = Observation()
+        stars = _small_star(_large_star(state)).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_000_007).alias("sum")
+        )
+        state = materialize(stars, "stars")
+        if seen.get == before:
             break
-        before = after
+        before = seen.get
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return roots.unionByName(state.select(F.col("u").alias("node"), F.col("v").alias("component")))

@@ -40,7 +40,7 @@ TOKENS = 20
 TILE = 4_096
 GROUP = 512  # partners of one document that a task verifies
 FIRST_TOKENS = 2  # minima whose forests are verified first
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 BROADCAST_ROWS = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -96,7 +96,7 @@ def bitmap(shingles: np.ndarray) -> bytes:
 def signatures(docs: DataFrame, id_col: str, words: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
-        for batch in batches:
+        for batch in (b.slice(low, 1000) for b in batches for low in range(0, b.num_rows, 1000)):
             rows = []
             for text in batch.column(1):
                 s = shingle(text.as_py())
