@@ -14,8 +14,8 @@ How the counts meet the tokens. Each task packs its documents into blocks of abo
 counts of its distinct words and word pairs, with its own counts of them, by sorted, compressed
 arrays, one for each hash range. A hash range adds up what all blocks sent and answers each
 block with the totals, in the order asked. A frequent word thus is sent once by each block, and
-the shuffles carry about a byte per token. Every task holds one block or one hash range; there are
-as many ranges as shuffle partitions.
+the shuffles carry some bytes per distinct pair of a block. Every task holds one block or one hash range;
+there is a range for each ``RANGE_TOKENS`` tokens.
 
 Counts are kept by 64-bit hashes of words and pairs. The mixture is learned from a histogram
 of the held-out tokens by bucket and estimates, rounded to a quarter of an octave, whose size
@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 from moodloom.llm.common import fold
 from moodloom.session import materialize
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+RANGE_TOKENS = 2 << 20
+BATCH_BYTES = 4 << 20
 BUCKETS = 48
 STEP = 4  # histogram cells per octave
 NONE = -(1 << 20)
@@ -198,12 +200,25 @@ def _ask(blocks: DataFrame, ranges: int) -> DataFrame:
     )
 
 
+_ANSWER = [("kind", "int"), ("range", "int"), ("block", "string"), ("kept", "binary"), ("gone", "binary"),
+           ("n_kept", "bigint"), ("v_kept", "bigint"), ("n", "bigint"), ("v", "bigint")]
+
+
+def _answers(rows: list[tuple]) -> pa.RecordBatch:
+    types = {"int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}
+    columns = list(zip(*rows)) if rows else [()] * len(_ANSWER)
+    arrays = [pa.array(c, types[kind]) for c, (_, kind) in zip(columns, _ANSWER)]
+    return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in _ANSWER])
+
+
 def _answer(asked: DataFrame) -> DataFrame:
     """(kind, range, block, kept, gone, n_kept, v_kept, n, v): totals in the order asked; the sums of a
     range of words, of the kept part and of all training, stand on its first row."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        ready: list[tuple] = []
+        held = 0
         for (kind, r), group in groupby(rows, key=lambda row: row[:2]):
             names, keys, kept, gone = [], [], [], []
             for _, _, name, k, a, b in group:
@@ -219,24 +234,16 @@ def _answer(asked: DataFrame) -> DataFrame:
             out = [np.split(s[place], ends) for s in sums]
             for i, name in enumerate(names):
                 first = facts if kind == 0 and i == 0 else (0, 0, 0, 0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([kind], pa.int32()),
-                        pa.array([r], pa.int32()),
-                        pa.array([name]),
-                        pa.array([_pack(out[0][i])], pa.binary()),
-                        pa.array([_pack(out[1][i])], pa.binary()),
-                        *[pa.array([x], pa.int64()) for x in first],
-                    ],
-                    names=["kind", "range", "block", "kept", "gone", "n_kept", "v_kept", "n", "v"],
-                )
+                ready.append((kind, r, name, _pack(out[0][i]), _pack(out[1][i]), *first))
+                held += len(ready[-1][3]) + len(ready[-1][4]) + 200
+                if held > BATCH_BYTES:
+                    yield _answers(ready)
+                    ready, held = [], 0
+        yield _answers(ready)
 
     # Ranges of both kinds are dealt out by number; arrays of one range are read by one task.
     dealt = asked.repartition("kind", "range").sortWithinPartitions("kind", "range", "block")
-    return dealt.mapInArrow(
-        answer,
-        "kind int, range int, block string, kept binary, gone binary, n_kept bigint, v_kept bigint, n bigint, v bigint",
-    )
+    return dealt.mapInArrow(answer, ", ".join(f"{name} {kind}" for name, kind in _ANSWER))
 
 
 def _estimates(word, context, pair, n: int, v: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -337,10 +344,10 @@ def score(
     scores rest on the uniform estimate. Other columns are ignored; an empty table gives an
     empty result.
     """
-    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = materialize(_blocks(docs, id_col, deleted, folds, held_out), "blocks")
+    tokens = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0]
+    ranges = (tokens or 0) // RANGE_TOKENS + 1
     answers = materialize(_answer(_ask(blocks, ranges)), "answers")
     facts = answers.where("kind = 0").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_kept", "v_kept", "n", "v")])
     n_kept, v_kept, n, v = facts.first()
@@ -348,6 +355,8 @@ def score(
     deleted_answers = answers.where(F.element_at(F.split("block", "-"), 2) == "1")
     cells = _histogram(deleted_blocks, deleted_answers, n_kept, v_kept).collect()
     weights = mixture_weights(np.array([tuple(r) for r in cells], np.int64).reshape(-1, 4))
+    if n == 0:
+        weights[:] = (0, 0, 1)
 
     def judge(head, block, words, pairs) -> pa.RecordBatch:
         total, pair_total = words[0] + words[1], pairs[0] + pairs[1]
