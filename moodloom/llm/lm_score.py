@@ -38,8 +38,8 @@ from moodloom.llm.common import fold
 from moodloom.session import materialize
 
 BLOCK_BYTES = 4 << 20
-RANGE_TOKENS = 2 << 20
-BATCH_BYTES = 4 << 20
+RANGE_TOKENS = 1 << 20
+BATCH_BYTES = 2 << 20
 BUCKETS = 48
 STEP = 4  # histogram cells per octave
 NONE = -(1 << 20)
