@@ -128,4 +128,93 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS
 FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)
 """
 
-ORACLES = {"op7_embedding_dedup": EMBEDDINGS, "op6_jaccard_join": JACCARD, "op8_decontaminate": DECONTAMINATE, "op4_url_filter": URL_FILTER, "op5_sharding": SHARDING}
+# crc32 is not among DuckDB's functions: the usual table of 256 steps, and a fold over the bytes.
+_CRC_STEPS = """
+steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    """Of the UTF-8 bytes; t is the table of steps."""
+    hexes = f"hex(encode({text}))"
+    byte = f"CAST('0x' || substr({hexes}, 2 * j + 1, 2) AS BIGINT)"
+    bytes_ = f"list_transform(range(CAST(length({hexes}) // 2 AS BIGINT)), lambda j: {byte})"
+    fold = f"list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda a, b: xor(a >> 8, t[xor(a, b) & 255 + 1]))"
+    return f"xor({fold}, CAST(4294967295 AS BIGINT))".replace("& 255 + 1", "% 256 + 1")
+
+
+RESAMPLING = f"""
+WITH RECURSIVE {_CRC_STEPS},
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+bw AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+buckets AS (
+  SELECT w, {_crc32("w")} % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN buckets USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN buckets USING (w) GROUP BY 1),
+totals AS (SELECT (SELECT count(*) FROM dw) AS all_s, (SELECT count(*) FROM bw) AS all_t),
+gains AS (
+  SELECT w, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (all_s + 10000)
+    / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM buckets LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT doc_id, sum(gain) AS weight FROM dw JOIN gains USING (w) GROUP BY 1),
+scored AS (
+  SELECT doc_id, len(w) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN weights USING (doc_id)),
+final AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM final WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM final LEFT JOIN ranked USING (doc_id)
+"""
+
+_RUNS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[A-Za-z\u00C0-\u00FF]+')"
+)
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE {_CRC_STEPS},
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest({_RUNS}) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32("doc_id || ':' || run")} AS h FROM runs, crc WHERE length(run) >= 6),
+noisy AS (
+  SELECT CASE WHEN h % 199 = 0
+    THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM noisy WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+gaps AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT x.word AS a, y.word AS b, y.n AS n_b FROM gaps x JOIN gaps y USING (i, head, tail) WHERE x.word <> y.word
+  UNION
+  SELECT x.word, y.word, y.n FROM gaps x JOIN words y ON x.head || x.tail = y.word
+  UNION
+  SELECT y.word, x.word, x.n FROM gaps x JOIN words y ON x.head || x.tail = y.word),
+best AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n_b DESC, encode(b)) AS b, max(n_b) AS n_b FROM pairs GROUP BY 1),
+v AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN n_b >= 5 * n THEN b END AS form,
+    CASE WHEN n_b >= 5 * n THEN n_b END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, form AS next FROM v
+  UNION ALL
+  SELECT walk.word, v.word, v.form FROM walk JOIN v ON walk.next = v.word)
+SELECT word, form, root, n, n_near, form_n FROM v JOIN (SELECT word, root FROM walk WHERE next IS NULL) USING (word)
+"""
+
+ORACLES = {
+    "op4_url_filter": URL_FILTER,
+    "op5_sharding": SHARDING,
+    "op6_jaccard_join": JACCARD,
+    "op7_embedding_dedup": EMBEDDINGS,
+    "op8_decontaminate": DECONTAMINATE,
+    "op11_importance_resampling": RESAMPLING,
+    "op13_spelling_variants": SPELLING_VARIANTS,
+}

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodloom.llm import (
+    byte_bpe,
     decontaminate,
     embedding_dedup,
+    importance_sampling,
     jaccard_join,
     language_id,
     line_dedup,
     lm_score,
     sentence_pieces,
     sharding,
+    spelling_variants,
     token_counts,
     url_filter,
 )
@@ -91,6 +94,34 @@ def op10_line_dedup(spark, sf_dir):
     return cleaned.select("doc_id", "n_lines", "n_deleted", "n_chars", F.md5("text").alias("text_md5"))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance_sampling.resample(docs, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_byte_bpe(spark, sf_dir, rank_file=None, pattern=None):
+    """``rank_file`` and ``pattern`` are those of the installed public tokenizers unless given."""
+    if rank_file is None or pattern is None:
+        import public_tokenizers
+
+        rank_file = rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken")
+        pattern = pattern or public_tokenizers.PATTERN
+    tokenizer = byte_bpe.build(byte_bpe.load_ranks(rank_file), pattern)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), tokenizer, columns=("packed", "decoded"))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling_variants(spark, sf_dir):
+    found = spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_language_id": op2_language_id,
@@ -102,4 +133,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_spelling_variants": op13_spelling_variants,
 }
