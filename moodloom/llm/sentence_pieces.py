@@ -39,6 +39,7 @@ SEARCHED = 20_000
 LONG = 48  # longer words are few; they are solved one by one
 ROWS = 500
 UNKNOWN = -1
+TIE = 1e-6
 
 
 @dataclass
@@ -90,22 +91,29 @@ class Lattice:
                 state = self.trie[state][char]
             self.piece[state] = i
 
-    def edges(self, word: str) -> list[list[tuple[int, int, float]]]:
-        """For each node the edges that end there: (start, piece or UNKNOWN, score)."""
+    def edges(self, word: str) -> tuple[list[list[tuple[int, int, float]]], list[float]]:
+        """For each node the edges that end there, (start, piece or UNKNOWN, score), and the best score to it."""
         trie, piece, scores = self.trie, self.piece, self.vocabulary.scores
-        ends: list[list[tuple[int, int, float]]] = [[] for _ in range(len(word) + 1)]
-        for i in range(len(word)):
-            state = trie[0].get(word[i])
+        n, first = len(word), trie[0]
+        ends: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
+        best = [0.0] + [-np.inf] * n
+        for i, char in enumerate(word):
+            here, state, j = best[i], first.get(char), i + 1
             if state is None or piece[state] == UNKNOWN:
-                ends[i + 1].append((i, UNKNOWN, self.unknown))
-            j = i + 1
+                ends[j].append((i, UNKNOWN, self.unknown))
+                best[j] = max(best[j], here + self.unknown)
             while state is not None:
                 found = piece[state]
                 if found != UNKNOWN:
-                    ends[j].append((i, found, scores[found]))
-                state = trie[state].get(word[j]) if j < len(word) else None
+                    score = scores[found]
+                    ends[j].append((i, found, score))
+                    if here + score > best[j]:
+                        best[j] = here + score
+                if j == n:
+                    break
+                state = trie[state].get(word[j])
                 j += 1
-        return ends
+        return ends, best
 
     def spelled(self, word: str, path: list[tuple[int, int]]) -> list[int]:
         """Ids of a path of (start, piece); an unknown character becomes its bytes."""
@@ -117,27 +125,56 @@ class Lattice:
                 ids.append(piece)
         return ids
 
-    def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations, best first; equal scores in the order the search meets them."""
-        ends = self.edges(word)
-        best = [0.0] + [-np.inf] * len(word)
+    def best_two(self, word: str) -> tuple[float, list[int], float]:
+        """The best score, its ids, and the second best score, from the forward pass alone."""
+        ends, _ = self.edges(word)
+        first, second = [0.0] + [-np.inf] * len(word), [-np.inf] * (len(word) + 1)
+        came: list[tuple[int, int]] = [(0, UNKNOWN)] * (len(word) + 1)
         for j in range(1, len(word) + 1):
-            best[j] = max(best[i] + s for i, _, s in ends[j])
-        queue = [(-best[-1], 0, len(word), 0.0, None)]
-        pushed, found = 1, []
+            high = low = -np.inf
+            for i, piece, score in ends[j]:
+                total = first[i] + score
+                if total > high:
+                    high, low, came[j] = total, max(high, second[i] + score), (i, piece)
+                else:
+                    low = max(low, total, second[i] + score)
+            first[j], second[j] = high, low
+        node, steps = len(word), []
+        while node:
+            steps.append(came[node])
+            node = came[node][0]
+        return first[-1], self.spelled(word, steps[::-1]), second[-1]
+
+    def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
+        """The n best segmentations, best first; those of equal score in a fixed order.
+
+        Of equal totals, the path nearest the start goes on first, so ties are not all explored before one
+        ends. A node is left n times at most, as every path through it further on is worse than n others.
+        Both bound the steps by n for each edge. Totals count as equal within ``TIE``, which the sums of
+        scores that are not whole numbers need.
+        """
+        ends, best = self.edges(word)
+        left = [0] * (len(word) + 1)
+        queue = [(-round(best[-1] / TIE), len(word), 0, 0.0, None)]
+        pushed, found = 0, []
         while queue and len(found) < n:
-            total, _, node, after, path = heapq.heappop(queue)
+            _, node, _, after, path = heapq.heappop(queue)
             if node == 0:
                 steps = []
                 while path is not None:
                     steps.append(path[0])
                     path = path[1]
-                found.append((-total, self.spelled(word, steps)))
+                found.append((after, self.spelled(word, steps)))
+                continue
+            if left[node] == n:
                 continue
+            left[node] += 1
             for i, piece, score in ends[node]:
-                heapq.heappush(queue, (-(best[i] + score + after), pushed, i, score + after, ((i, piece), path)))
-                pushed += 1
-        return found
+                if left[i] < n:
+                    pushed -= 1  # of one node, the last path in goes first
+                    total = -round((best[i] + score + after) / TIE)
+                    heapq.heappush(queue, (total, i, pushed, score + after, ((i, piece), path)))
+        return sorted(found, key=lambda x: -x[0])
 
 
 class Encoder:
@@ -291,10 +328,8 @@ class Encoder:
         return [np.array([known[w] for w in text], np.int64) for text in words]
 
     def _solve_long(self, word: str) -> None:
-        found = self.lattice.n_best(word, 2)
-        loss = found[0][0] - found[1][0] if len(found) > 1 else np.inf
-        ids = np.array(found[0][1], np.int32)
-        self._append([word], ids, np.array([len(ids)]), np.array([found[0][0]]), np.array([loss]))
+        best, ids, second = self.lattice.best_two(word)
+        self._append([word], np.array(ids, np.int32), np.array([len(ids)]), np.array([best]), np.array([best - second]))
 
     def best_ids(self, numbers: np.ndarray) -> np.ndarray:
         """Ids of the best segmentation of a sequence of words."""
@@ -302,12 +337,15 @@ class Encoder:
         at = np.repeat(self.start[numbers] - (np.cumsum(counts) - counts), counts)
         return self.ids[at + np.arange(len(at))]
 
-    def word_lists(self, word: str, n: int) -> list:
+    def word_lists(self, word: str, number: int, n: int) -> list:
+        """The n best of a word, led by the one that ``best_ids`` gives, which others may equal in score."""
         found = self.searched.get(word)
         if found is None:
             if len(self.searched) >= SEARCHED:
                 self.searched.clear()
-            found = self.searched[word] = self.lattice.n_best(word, n)
+            ids = self.best_ids(np.array([number])).tolist()
+            rest = [x for x in self.lattice.n_best(word, n) if x[1] != ids]
+            found = self.searched[word] = [(float(self.best[number]), ids), *rest][:n]
         return found
 
     def others(self, words: list[str], numbers: np.ndarray, n: int) -> list[dict]:
@@ -318,7 +356,7 @@ class Encoder:
         if not len(few):
             return []
         before = np.cumsum(self.count[numbers])
-        lists = [self.word_lists(words[p], n) for p in few.tolist()]
+        lists = [self.word_lists(words[p], int(numbers[p]), n) for p in few.tolist()]
         total = float(self.best[numbers].sum())
         queue = [(-total, (0,) * len(lists))]
         met, found = {queue[0][1]}, []

@@ -16,7 +16,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_registered_names():
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in cp.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontamination", "sentence_pieces"]
 

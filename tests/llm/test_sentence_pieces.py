@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -68,6 +69,8 @@ def test_long_words_equal_short_ones(vocabulary):
     one = encoder.best[0], encoder.best_ids(encoder.known[word] + sp.np.zeros(1, int)).tolist(), encoder.loss[0]
     found = encoder.lattice.n_best(word, 2)
     assert one[0] == found[0][0] and one[2] == found[0][0] - found[1][0]
+    best, ids, second = encoder.lattice.best_two(word)
+    assert (best, second) == (found[0][0], found[1][0]) and ids == one[1]
     assert sum(vocabulary.scores.get(i, 0) for i in one[1]) + vocabulary.unknown_score * word.count("\n") == one[0]
 
 
@@ -85,3 +88,59 @@ def test_decode_odd_ids(spark, vocabulary):
     rows = [(None,), ([],), ([-1, 99_999_999, None, 0, 1, 2],), ([vocabulary.byte_ids[255]],)]
     df = spark.createDataFrame(rows, "ids array<int>")
     assert [r.decoded for r in sp.decode(df, vocabulary).collect()] == [None, "", "", "�"]
+
+
+def k_best_scores(lattice, word, n):
+    """Scores of the n best by dynamic programming: the n best of each node."""
+    best = [[0.0]]
+    for edges in lattice.edges(word)[0][1:]:
+        best.append(sorted((t + s for i, _, s in edges for t in best[i]), reverse=True)[:n])
+    return best[-1]
+
+
+TIED = ["-" * 400, "-" * 20_000, " " * 20_000 + "a", "ab" * 50_000, "\u25a1" * 5_000, "=-" * 10_000, "".join(random.Random(7).choices("abcdefgh", k=100_000))]
+
+
+@pytest.mark.parametrize("word", TIED)
+def test_long_words_with_ties(vocabulary, word):
+    lattice = sp.Encoder(vocabulary).lattice
+    expected = k_best_scores(lattice, word, 5)
+    for n in (2, 5):
+        began = time.process_time()
+        found = lattice.n_best(word, n)
+        # About a second at most on an idle machine.
+        assert time.process_time() - began < (2 if n == 2 else 5)
+        assert [score for score, _ in found] == expected[:n]
+        assert len({tuple(ids) for _, ids in found}) == len(expected[:n])
+    began = time.process_time()
+    best, ids, second = lattice.best_two(word)
+    assert time.process_time() - began < 2 and [best, second] == [*expected, -sp.np.inf][:2]
+    spelled = {i: t for t, i in vocabulary.pieces.items()}
+    if "\u25a1" not in word:
+        assert "".join(spelled[i] for i in ids) == word
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_scores_that_are_no_whole_numbers(seed):
+    rng = random.Random(seed)
+    vocabulary = small_vocabulary(seed)
+    vocabulary.scores = {i: -rng.choice([0.1, 0.2, 0.3, 1 / 3]) * len(t) for t, i in vocabulary.pieces.items()}
+    lattice = sp.Lattice(vocabulary)
+    for word in ["ab" * 300, "a" * 500, "".join(rng.choice("ab") for _ in range(700))]:
+        for n in (2, 7):
+            began = time.process_time()
+            found = lattice.n_best(word, n)
+            assert time.process_time() - began < 1
+            # Totals within a tie of each other may change places.
+            assert [s for s, _ in found] == pytest.approx(k_best_scores(lattice, word, n), abs=n * sp.TIE)
+            assert len({tuple(ids) for _, ids in found}) == len(found)
+
+
+def test_the_best_is_not_among_the_others(spark):
+    """Ties everywhere: the path of the forward pass need not be the first of the search."""
+    pieces = {" ": 256, "a": 257, "aa": 258, "aaa": 259}
+    vocabulary = sp.Vocabulary(pieces, {256: -1.0, 257: -1.0, 258: -2.0, 259: -3.0}, list(range(256)), 260)
+    df = spark.createDataFrame([(1, "a" * 6), (2, "a" * 60), (3, "aaa aaa")], "doc_id long, text string")
+    for r in sp.encode(df, vocabulary, 6).collect():
+        every = [tuple(r.ids), *[tuple(sp.apply_edits(r.ids, o.edits)) for o in r.others]]
+        assert len(set(every)) == 6 and len({o.score for o in r.others} | {r.score}) == 1
