@@ -11,13 +11,7 @@ from moodloom.functions import dictionaries, topics
 from moodloom.functions import text as tx
 from moodloom.functions.dates import with_time_columns
 from moodloom.operators import evaluation, features, ingest, marts, sentiment, split, trends
-from moodloom.operators.classifiers import (
-    SVC_ITERATIONS,
-    SentimentModel,
-    gradient_size,
-    iterations_used,
-    predict_sentiment,
-)
+from moodloom.operators.classifiers import SentimentModel, decided, predict_sentiment
 from moodloom.operators.preprocess import lemmatize, preprocess, seed_lemmas
 from moodloom.plans import scheduled_run, training
 from moodloom.schemas import PREPROCESSED, SENTIMENTS
@@ -286,54 +280,32 @@ def classification_report(spark, sf):
     )
 
 
-def _linear(spark, sf, kind):
-    """The shared relations, the fitted model and its test predictions."""
-    data = training.training_set(labeled(spark, sf))
-    rows = training.vectors(data)
-    model, predicted = training.fit_linear(data, rows, kind)
-    return data, rows, model, predicted
+def _rounded(prefix: str) -> list[Column]:
+    return [F.round(f"{prefix}_{s}", 3).alias(f"{prefix}_{s}") for s in SENTIMENTS]
 
 
 def train_lr(spark, sf):
-    """The test rows, and whether the solver found the optimum of the training rows."""
-    data, rows, model, predicted = _linear(spark, sf, "logistic")
-    train = split.with_class_weight(rows.where(F.col("split") == "train"))
-    size = gradient_size(model.stages, train, data.weighted)
-    return predicted.select("tweet_id", "sentiment", F.lit(size < 1e-3).alias("gradient_is_zero"))
-
-
-def _beats_largest(predicted: DataFrame) -> DataFrame:
-    """``n_test``, and whether the accuracy exceeds the share of the largest class."""
-    counts = predicted.groupBy("sentiment").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("sentiment") == F.col("prediction")).alias("hit")
-    )
-    return counts.agg(F.sum("n").alias("n_test"), (F.sum("hit") > F.max("n")).alias("beats_largest"))
+    """The test rows with the class and the probabilities of the fitted model."""
+    predicted = training.fit_linear(training.training_set(labeled(spark, sf)), "logistic")[1]
+    return predicted.select("tweet_id", "sentiment", "prediction", *_rounded("prob"))
 
 
 def train_svc(spark, sf):
-    _, _, model, predicted = _linear(spark, sf, "svc")
-    converged = iterations_used(model.stages) < SVC_ITERATIONS
-    return _beats_largest(predicted).withColumn("converged", F.lit(converged))
+    """The test rows with the margins, and the class where the solver's error bound decides it."""
+    predicted = training.fit_linear(training.training_set(labeled(spark, sf)), "svc")[1]
+    return predicted.select(
+        "tweet_id", "sentiment", F.when(decided(), F.col("prediction")).alias("prediction"), *_rounded("margin")
+    )
 
 
 def model_metrics(spark, sf):
-    """The comparison: each model against the share of the largest class, and its figures in bounds."""
-    rows = labeled(spark, sf)
-    table = materialize(training.train_models(rows)[1], "metrics")
-    tested = split.stratified_split(rows).where(F.col("split") == "test")
-    share = tested.groupBy("sentiment").count().agg(100 * F.max("count") / F.sum("count")).first()[0]
-    figures = [F.col(m) for m in ("accuracy", "precision", "recall", "f1")]
-    return table.select(
-        "model",
-        "is_primary",
-        (F.col("accuracy") > share).alias("beats_largest"),
-        ((F.least(*figures) >= 0) & (F.greatest(*figures) <= 100)).alias("in_bounds"),
-    )
+    """The comparison of the models by their figures on the test rows."""
+    return training.train_models(labeled(spark, sf))[1]
 
 
 def _saved_model(spark, sf) -> SentimentModel:
     path = workspace(spark, "model")
-    _linear(spark, sf, "logistic")[2].save(path)
+    training.fit_linear(training.training_set(labeled(spark, sf)), "logistic")[0].save(path)
     return SentimentModel.load(spark, path)
 
 
@@ -343,14 +315,8 @@ def predict_batch(spark, sf):
     predicted = predict_sentiment(
         texts, _saved_model(spark, sf), dictionaries.seed_lexicon(spark), seed_lemmas(spark)
     )
-    parts = [F.col(f"prob_{s}") for s in SENTIMENTS]
-    chosen = F.greatest(*[F.when(F.col("sentiment") == s, p) for s, p in zip(SENTIMENTS, parts)])
     return predicted.select(
-        "tweet_id",
-        "text",
-        "vader_compound",
-        (F.abs(sum(parts, F.lit(0.0)) - 1) < 1e-9).alias("sums_to_one"),
-        ((F.col("confidence") == F.greatest(*parts)) & (F.col("confidence") == chosen)).alias("is_likeliest"),
+        "tweet_id", "text", "sentiment", F.round("confidence", 3).alias("confidence"), "vader_compound", *_rounded("prob")
     )
 
 
@@ -380,12 +346,11 @@ def _run_twice(spark, sf, out_dir) -> None:
 
 
 def scheduled(spark, sf):
-    """Totals of the daily report that a scheduled run publishes; they do not depend on the labels."""
+    """Counts of the daily report that a scheduled run publishes, by the labels of its classifier."""
     out_dir = workspace(spark, "run")
     _run_twice(spark, sf, out_dir)
     daily = spark.read.parquet(f"{out_dir}/Daily_Sentiment")
-    sums = [F.sum(c).alias(c) for c in ("tweet_count", "total_likes", "total_retweets")]
-    return daily.groupBy("date", "topic").agg(*sums, F.count_if(F.col("pct") > 100).alias("odd"))
+    return daily.select("date", "topic", "sentiment", "tweet_count", "total_likes", "total_retweets", "pct")
 
 
 def run_log(spark, sf):
@@ -449,7 +414,7 @@ def stream_score(spark, sf):
     if not log.success:
         raise RuntimeError(log.error_msg)
     rows = spark.read.parquet(f"{out_dir}/labeled")
-    return rows.select("tweet_id", "vader_compound", F.col("vader_sentiment").alias("sentiment"))
+    return rows.select("tweet_id", "vader_compound", "vader_sentiment", "sentiment")
 
 
 QUERIES = {

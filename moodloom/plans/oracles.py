@@ -6,6 +6,8 @@ functions and scalar expressions, over the same whole tables.
 
 from __future__ import annotations
 
+import re
+
 from moodloom.functions import dictionaries as words
 from moodloom.functions import text as tx
 from moodloom.functions.topics import STREAM_RULES, TOPIC_KEYWORDS
@@ -28,7 +30,7 @@ def _values(pairs) -> str:
 
 
 def _with(*ctes: str, select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + select
 
 
 # Collection
@@ -312,6 +314,102 @@ NB = [
 ]
 
 
+# Logistic regression by Newton steps, each of CG_STEPS conjugate gradients; the first ones go half the way. A row of
+# ``lr`` is a feature (-1: the intercept, not penalised) with weights w, step s, residual r, direction p, scale d.
+CG_STEPS, HALF_STEPS, FULL_STEPS = 30, 7, 13
+
+
+def _each(pattern: str, join: str = ", ") -> str:
+    """The pattern for the classes 0, 1, 2 in the place of #."""
+    return join.join(pattern.replace("#", str(k)) for k in range(len(SENTIMENTS)))
+
+
+def _newton() -> str:
+    total = "sum(" + _each("r# * r# / d#", " + ") + ") OVER ()"
+    first = f"it % {CG_STEPS + 1} = 0"
+    length = f"CASE WHEN it < {HALF_STEPS * (CG_STEPS + 1)} THEN 0.5::DOUBLE ELSE 1 END"
+    last = f"it % {CG_STEPS + 1} = {CG_STEPS}"
+    return f"""lr(it, idx, ridge, {_each('w#, s#, r#, p#, d#')}) AS (
+ SELECT 0, idx, CASE WHEN idx < 0 THEN 0 ELSE 1::DOUBLE END, {_each('0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 1::DOUBLE')}
+ FROM (SELECT DISTINCT idx FROM lr_terms)
+ UNION ALL
+ SELECT it + 1, idx, ridge, {_each(f'w# + CASE WHEN {last} THEN ({length}) * s# ELSE 0 END, s#, r#, r# / d# + beta * p#, d#')}
+ FROM (SELECT * REPLACE (0 AS a), CASE WHEN {first} OR rz = 0 THEN 0 ELSE {total} / rz END AS beta FROM (
+  SELECT it, idx, ridge, rz, a, {_each('w#, p#')},
+   {_each(f'CASE WHEN {first} THEN 0 ELSE s# + a * p# END AS s#')},
+   {_each(f'CASE WHEN {first} THEN -h# ELSE r# - a * h# END AS r#')},
+   {_each(f'CASE WHEN {first} THEN c# ELSE d# END AS d#')}
+  FROM (SELECT *, CASE WHEN {first} THEN 0 ELSE coalesce(rz / nullif(ph, 0), 0) END AS a FROM (
+   SELECT *, {total} AS rz, sum({_each('p# * h#', ' + ')}) OVER () AS ph FROM (
+    WITH m AS (SELECT doc, max(it) AS it, {_each('sum(x * w#) AS m#, sum(x * p#) AS u#')} FROM lr_terms JOIN lr USING (idx) GROUP BY doc),
+    e AS (SELECT doc, it, cost, label, {_each('u#')}, {_each('exp(m# - greatest(m0, m1, m2)) AS e#')} FROM m JOIN lr_rows USING (doc)),
+    q AS (SELECT doc, it, cost, label, {_each('u#')}, {_each('e# / (e0 + e1 + e2) AS q#')} FROM e),
+    t AS (SELECT doc, {_each('cost * q# * (1 - q#) AS v#')},
+     {_each(f'cost * CASE WHEN {first} THEN q# - CASE WHEN label = # THEN 1 ELSE 0 END ELSE q# * (u# - q0 * u0 - q1 * u1 - q2 * u2) END AS t#')} FROM q),
+    f AS (SELECT idx, {_each('sum(x * t#) AS t#, sum(x * x * v#) AS v#')} FROM lr_terms JOIN t USING (doc) GROUP BY idx)
+    SELECT lr.*, {_each(f't# + ridge * CASE WHEN {first} THEN w# ELSE p# END AS h#, v# + ridge AS c#')} FROM lr JOIN f USING (idx)))))
+ WHERE it < {(HALF_STEPS + FULL_STEPS) * (CG_STEPS + 1)}))"""
+
+
+LR = [
+    *SCORED,
+    *SPLIT,
+    *TF,
+    "train AS (SELECT tweet_id, sentiment FROM parts WHERE split = 'train')",
+    *_vocabulary("train"),
+    """lr_rows AS MATERIALIZED (SELECT row_number() OVER (ORDER BY tweet_id) AS doc, tweet_id,
+     CASE sentiment """
+    + " ".join(f"WHEN '{s}' THEN {k}" for k, s in enumerate(SENTIMENTS))
+    + """ END AS label, count(*) OVER () / ((SELECT count(DISTINCT sentiment) FROM train) * CAST(count(*) OVER (PARTITION BY sentiment) AS DOUBLE)) AS cost
+     FROM train)""",
+    "scales AS MATERIALIZED (SELECT idx, max(weight) AS scale FROM weights JOIN train USING (tweet_id) GROUP BY idx)",
+    """lr_terms AS MATERIALIZED (SELECT doc, idx, weight / scale AS x FROM weights JOIN lr_rows USING (tweet_id) JOIN scales USING (idx)
+     UNION ALL SELECT doc, -1, 1 FROM lr_rows)""",
+    _newton(),
+    "fitted AS MATERIALIZED (SELECT * FROM lr WHERE it = (SELECT max(it) FROM lr))",
+]
+
+
+def _scored_by_lr(ids: str, weights: str, label: str) -> list[str]:
+    """CTEs up to ``lr_scored``: the ids with prediction and probabilities; ``weights`` has their terms."""
+    return [
+        f"""lr_sums AS (SELECT tweet_id, {_each('sum(weight / scale * w#) AS m#')} FROM {weights} JOIN scales USING (idx)
+          JOIN fitted USING (idx) GROUP BY tweet_id)""",
+        f"""lr_margins AS (SELECT i.*, {_each('coalesce(m#, 0) + (SELECT w# FROM fitted WHERE idx = -1) AS m#')}
+          FROM {ids} i LEFT JOIN lr_sums USING (tweet_id))""",
+        f"""lr_scored AS (SELECT * EXCLUDE ({_each('m#')}),
+          CASE WHEN m0 >= m1 AND m0 >= m2 THEN '{SENTIMENTS[0]}' WHEN m1 >= m2 THEN '{SENTIMENTS[1]}' ELSE '{SENTIMENTS[2]}' END AS {label},
+          """
+        + ", ".join(f"exp(m{k} - greatest(m0, m1, m2)) / ({_each('exp(m# - greatest(m0, m1, m2))', ' + ')}) AS prob_{s}" for k, s in enumerate(SENTIMENTS))
+        + " FROM lr_margins)",
+    ]
+
+
+_AGAIN = re.compile(
+    r"\b(cleaned|chars|tokenized|kept|irregular|places|lemmas|lemmatized|unigrams|terms_of|tf|raw_weights|weights"
+    r"|lexicon|idioms|wordlist|framed|placed|around|based|v\d+|summed|pushed|scores)\b"
+)
+
+
+def _again(*ctes: str) -> list[str]:
+    """The same steps under other names, for a second relation in one statement."""
+    return [_AGAIN.sub(r"\1_2", cte) for cte in ctes]
+
+
+# The first arrivals' texts, prepared without a least number of words, and scored as they are.
+FIRSTS_READY = [
+    FIRST,
+    *_again(*_tokenized("firsts", "tweet_id")),
+    *[
+        cte.replace("FROM prepared", "FROM (SELECT tweet_id, array_to_string(tokens, ' ') AS processed_text FROM lemmatized_2)")
+        for cte in _again(*TF)
+    ],
+    *_again(*_vocabulary("train")[2:]),
+    *_again(*_scores("firsts", "tweet_id", "{emoji}")),
+]
+PROBABILITIES = ", ".join(f"round(prob_{s}, 3) AS prob_{s}" for s in SENTIMENTS)
+
+
 def _report() -> str:
     rows = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SENTIMENTS))
     return f""", classes(position, class) AS (VALUES {rows}),
@@ -426,22 +524,25 @@ def oracle_sql() -> dict[str, str]:
         "raw_table": _with(POSTS, select=f"""SELECT arrival_seq, tweet_id, {_TOPIC} AS topic FROM posts
             WHERE NOT starts_with(text, 'RT ')
             QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY arrival_seq % 2, arrival_seq) = 1"""),
-        "train_lr": _with(*SCORED, *SPLIT, select="""SELECT tweet_id, sentiment, true AS gradient_is_zero
-            FROM parts WHERE split = 'test'"""),
-        "train_svc": _with(*SCORED, *SPLIT, select="""SELECT count(*) AS n_test, true AS beats_largest, true AS converged
-            FROM parts WHERE split = 'test'"""),
-        "model_metrics": """SELECT model, model = 'Logistic Regression' AS is_primary, true AS beats_largest, true AS in_bounds
-            FROM (VALUES ('Logistic Regression'), ('SVM (LinearSVC)'), ('Naive Bayes')) m(model)""",
-        "predict_batch": _with(POSTS, FIRST, *_scores("firsts", "tweet_id", _emoji("text")), select="""SELECT tweet_id, text,
-            vader_compound, true AS sums_to_one, true AS is_likeliest FROM firsts JOIN scores USING (tweet_id)"""),
-        "scheduled_run": _with(*READY, select="""SELECT CAST(created_at AS DATE) AS date, topic, count(*) AS tweet_count,
-            CAST(sum(like_count) AS BIGINT) AS total_likes, CAST(sum(retweet_count) AS BIGINT) AS total_retweets,
-            CAST(0 AS BIGINT) AS odd FROM prepared GROUP BY ALL"""),
+        "train_lr": _with(*LR, "test AS (SELECT tweet_id, sentiment FROM parts WHERE split = 'test')",
+            *_scored_by_lr("test", "weights", "prediction"),
+            select=f"SELECT tweet_id, sentiment, prediction, {PROBABILITIES} FROM lr_scored"),
+        "predict_batch": _with(*LR, *[cte.replace("{emoji}", _emoji("text")) for cte in FIRSTS_READY],
+            *_scored_by_lr("firsts", "weights_2", "sentiment"),
+            select=f"""SELECT tweet_id, text, sentiment, vader_compound, {PROBABILITIES},
+            round(greatest({', '.join(f'prob_{s}' for s in SENTIMENTS)}), 3) AS confidence FROM lr_scored JOIN scores_2 USING (tweet_id)"""),
+        "scheduled_run": _with(*LR, *_scored_by_lr("prepared", "weights", "label"),
+            select="""SELECT *, round_even(tweet_count / sum(tweet_count) OVER (PARTITION BY date, topic) * 100, 2) AS pct FROM (
+            SELECT CAST(created_at AS DATE) AS date, topic, label AS sentiment, count(*) AS tweet_count,
+             CAST(sum(like_count) AS BIGINT) AS total_likes, CAST(sum(retweet_count) AS BIGINT) AS total_retweets
+            FROM lr_scored GROUP BY ALL)"""),
         "run_log": _with(*READY, select="""SELECT count(*) AS tweet_count, true AS success, CAST(NULL AS VARCHAR) AS error_msg
             FROM prepared UNION ALL SELECT 0, true, NULL"""),
         "stream_ingest": _with(POSTS, COLLECTED, select="""SELECT arrival_seq, tweet_id, topic, lang, retweet_count, like_count
             FROM collected"""),
         "stream_dedup": _with(POSTS, select="SELECT DISTINCT tweet_id FROM posts"),
         "stream_volume": volume,
-        "stream_score": labels,
+        "stream_score": _with(*LR, *_scored_by_lr("prepared", "weights", "label"),
+            select="""SELECT tweet_id, vader_compound, s.sentiment AS vader_sentiment, label AS sentiment
+            FROM scored s JOIN (SELECT tweet_id, label FROM lr_scored) USING (tweet_id)"""),
     }

@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_a_twin():
-    assert set(catalog.QUERIES) == set(oracles.oracle_sql())
+    # The squared hinge has no solver in SQL; test_newton and test_models compare it with solvers of another kind.
+    assert set(catalog.QUERIES) - set(oracles.oracle_sql()) == {"train_svc", "model_metrics"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -30,7 +31,7 @@ def one_model():
         yield
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_equals_sql(spark, tables, name):
     df = catalog.QUERIES[name](spark, SF)
     assert compare(df, tables, oracles.oracle_sql()[name]).startswith("ok")

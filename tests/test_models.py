@@ -1,14 +1,15 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from moodloom.functions import dictionaries as words
-from moodloom.operators import features, naive_bayes
+from moodloom.operators import classifiers, evaluation, features, naive_bayes
 from moodloom.operators.classifiers import SentimentModel, predict_sentiment
 from moodloom.operators.preprocess import seed_lemmas
 from moodloom.plans import scheduled_run, training
-from moodloom.schemas import ARRIVING_TWEETS
+from moodloom.schemas import ARRIVING_TWEETS, SENTIMENTS
 
 TEXTS = ["good day", "good day", "good bad", "bad day", "", "rare word"]
 
@@ -113,3 +114,103 @@ def test_train_save_predict_and_run(spark, tmp_path):
     failed = scheduled_run.run(spark, texts, loaded, lexicon, lemmas, out).first()
     assert not failed.success and failed.error_msg
     assert spark.read.parquet(f"{out}/runs").count() == 3
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    """The training set of the smallest tables, as relations and as sparse rows."""
+    from moodloom.plans import catalog
+
+    data = training.training_set(catalog.labeled(spark, SF))
+    terms, parts = {}, {}
+    for r in data.weighted.collect():
+        terms.setdefault(r.tweet_id, []).append((r.idx, r.weight))
+    for r in data.rows.collect():
+        parts.setdefault(r.split, {})[r.tweet_id] = r.sentiment
+    return data, terms, parts
+
+
+def scaled_rows(terms, ids, scale):
+    """(features, values) of each id, the intercept last."""
+    rows = {}
+    for i in ids:
+        own = [(j, w / scale[j]) for j, w in terms.get(i, []) if j in scale]
+        rows[i] = np.array([j for j, _ in own] + [-1]), np.array([x for _, x in own] + [1.0])
+    return rows
+
+
+def test_svc_equals_dual_descent_on_all_decided_rows(trained):
+    data, terms, parts = trained
+    train, test = parts["train"], parts["test"]
+    scale = {}
+    for i in train:
+        for j, w in terms.get(i, []):
+            scale[j] = max(scale.get(j, 0.0), w)
+    rows = scaled_rows(terms, train, scale)
+    ids, size = list(train), max(scale) + 2
+    n_class = {s: sum(v == s for v in train.values()) for s in SENTIMENTS}
+    cost = np.array([len(ids) / (3 * n_class[train[i]]) for i in ids])
+    square = np.array([(rows[i][1] ** 2).sum() for i in ids]) + 1 / (2 * cost)
+    weights = {}
+    for s in SENTIMENTS:
+        y = np.array([1.0 if train[i] == s else -1.0 for i in ids])
+        alpha, w = np.zeros(len(ids)), np.zeros(size)
+        for _ in range(5000):
+            moved = 0.0
+            for n, i in enumerate(ids):
+                j, x = rows[i]
+                new = max(0.0, alpha[n] - (y[n] * (x @ w[j]) - 1 + alpha[n] / (2 * cost[n])) / square[n])
+                if new != alpha[n]:
+                    moved = max(moved, abs(new - alpha[n]))
+                    w[j] += (new - alpha[n]) * y[n] * x
+                    alpha[n] = new
+            if moved < 1e-9:
+                break
+        weights[s] = w
+    model, predicted = training.fit_linear(data, "svc")
+    assert model.error**2 / 2 < 1e-6  # the duality gap
+    held_out, decided = scaled_rows(terms, test, scale), 0
+    for r in predicted.withColumn("decided", classifiers.decided()).collect():
+        j, x = held_out[r.tweet_id]
+        margins = {s: x @ weights[s][j] for s in SENTIMENTS}
+        for s in SENTIMENTS:
+            assert r[f"margin_{s}"] == pytest.approx(margins[s], abs=1e-4)
+        if r.decided:
+            decided += 1
+            assert r.prediction == max(margins, key=margins.get)
+    assert decided > 0.95 * len(test)
+
+
+def test_metrics_equal_plain_counts(trained):
+    data, _, _ = trained
+    predictions = {
+        "Logistic Regression": training.fit_linear(data, "logistic")[1],
+        "Naive Bayes": training.naive_bayes_predictions(data),
+    }
+    for name, predicted in predictions.items():
+        rows = [(r.sentiment, r.prediction) for r in predicted.collect()]
+        row = evaluation.model_row(predicted, name).first()
+        n, figures = len(rows), [0.0, 0.0, 0.0]
+        for s in SENTIMENTS:
+            hit = sum(a == b == s for a, b in rows)
+            actual, chosen = sum(a == s for a, _ in rows), sum(b == s for _, b in rows)
+            for k, (over, under) in enumerate([(hit, chosen), (hit, actual), (2 * hit, actual + chosen)]):
+                figures[k] += actual * (over / under if under else 0.0) / n
+        assert row.accuracy == pytest.approx(100 * sum(a == b for a, b in rows) / n, abs=0.051)
+        assert [row.precision, row.recall, row.f1] == pytest.approx([100 * f for f in figures], abs=0.051)
+        assert row.accuracy > 100 * max(sum(a == s for a, _ in rows) for s in SENTIMENTS) / n
+
+
+def test_the_registered_comparison(spark):
+    from moodloom.plans import catalog
+
+    rows = {r.model: r for r in catalog.model_metrics(spark, SF).collect()}
+    assert set(rows) == {"Logistic Regression", "SVM (LinearSVC)", "Naive Bayes"}
+    assert [r.is_primary for r in rows.values()].count(True) == 1 and rows["Logistic Regression"].is_primary
+    assert all(50 < r.accuracy <= 100 and 0 < r.f1 <= 100 for r in rows.values())
+    tested = catalog.train_svc(spark, SF).collect()
+    share = 100 * sum(r.prediction == r.sentiment for r in tested) / len(tested)
+    assert rows["SVM (LinearSVC)"].accuracy == pytest.approx(share, abs=0.051)
