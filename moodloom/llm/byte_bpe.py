@@ -18,6 +18,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -197,14 +198,18 @@ class Encoder:
         self.merge = Merger(tokenizer.tokens)
         self.known: dict[bytes, list[int]] = {}
 
-    def _merged(self, piece: bytes) -> list[int]:
-        found = self.known.get(piece)
-        if found is None:
-            found = self.merge(piece)
-            if len(piece) <= REMEMBERED_BYTES:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = found
+    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each pre-token that is no token."""
+        known = self.known
+        found = list(map(known.get, pieces))
+        for i, ids in enumerate(found):
+            if ids is None:
+                piece = pieces[i]
+                found[i] = ids = known.get(piece) or self.merge(piece)
+                if len(piece) <= REMEMBERED_BYTES:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[piece] = ids
         return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -221,13 +226,11 @@ class Encoder:
         raw = data.to_pybytes()[: bounds[-1]] if data is not None else b""
         found = self.hash.find(Buffer(raw), bounds[:-1], np.diff(bounds))
         missed = np.flatnonzero(found < 0)
-        merged = self._merged
+        lists = self._merged([raw[a:b] for a, b in zip(bounds[missed].tolist(), bounds[missed + 1].tolist())])
         counts = np.ones(len(found), np.int64)
-        low, high = bounds[missed].tolist(), bounds[missed + 1].tolist()
-        lists = [merged(raw[a:b]) for a, b in zip(low, high)]
-        counts[missed] = [len(x) for x in lists]
+        counts[missed] = list(map(len, lists))
         ids = np.repeat(found, counts)
-        ids[ids < 0] = [i for x in lists for i in x]
+        ids[ids < 0] = list(chain.from_iterable(lists))
         ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *n_pieces])]
         return ids.astype(np.int32), np.diff(ends)
 
