@@ -15,6 +15,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import types as T
 
 from moodloom.functions.text import with_term_counts, with_terms
+from moodloom.operators import frequent
 
 
 @dataclass(frozen=True)
@@ -32,24 +33,22 @@ def document_terms(df: DataFrame, id_col: str = "tweet_id", text_col: str = "pro
     return with_term_counts(with_terms(df, text_col)).select(id_col, "term_counts")
 
 
-def vocabulary(terms: DataFrame, params: TfidfParams = DEFAULTS) -> DataFrame:
+def vocabulary(
+    terms: DataFrame, params: TfidfParams = DEFAULTS, capacity: int = frequent.CAPACITY
+) -> DataFrame:
     """``(term, df, cf, n_docs, idf, idx)`` of the kept terms.
 
     A term must occur in at least ``min_df`` documents and at most the share
     ``max_df`` of them; then the ``max_features`` most frequent stay, ties by
-    term. ``idx`` is the alphabetical rank.
+    term. ``idx`` is the alphabetical rank. Tasks hand on at most ``capacity`` terms each (see
+    ``frequent``). ``terms`` is read more than once; hand in a written table.
     """
-    n_docs = terms.agg(F.count(F.lit(1))).scalar()
-    counts = (
-        terms.select(F.inline_outer("term_counts"))
-        .where(F.col("term").isNotNull())
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-        .where(F.col("df") >= params.min_df)
-    )
+    totals = frequent.term_totals(terms, params.max_features, params.min_df, params.max_df, capacity)
     kept = (
-        counts.withColumn("n_docs", n_docs)
+        totals.counts.withColumn("n_docs", F.lit(totals.n_docs).cast("long"))
+        .where(F.col("df") >= params.min_df)
         .where(F.col("df") <= params.max_df * F.col("n_docs"))
+        .select("term", "df", "cf", "n_docs")
         .orderBy(F.col("cf").desc(), "term")
         .limit(params.max_features)
     )
