@@ -15,6 +15,7 @@ from moodloom.operators.trends import volume_over_time
 from moodloom.schemas import ARRIVING_TWEETS
 from moodloom.sources.posts import posts_from
 from moodloom.sources.tables import append_new
+from moodloom.streaming.partials import PartialStore
 
 CORRUPT = "_corrupt_record"
 
@@ -113,14 +114,21 @@ def dedup_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     return arrived.dropDuplicatesWithinWatermark(["tweet_id"]).drop("arrived_at")
 
 
+def volume_sums(spark: SparkSession, out_dir: str) -> PartialStore:
+    return PartialStore(spark, out_dir, ["hour", "topic"], ["tweet_count"])
+
+
 def volume_stream(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataStreamWriter:
-    """Posts per hour and topic as partial counts of each batch, which ``volume`` sums.
+    """Posts per hour and topic as partial counts of the batches, which ``volume`` sums.
 
-    There is no state and no late row; a repeated batch replaces its counts.
+    There is no state and no late row; a repeated batch replaces its counts, and counts of older batches are added up
+    as they become many.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        volume_over_time(batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        sums = volume_sums(batch.sparkSession, out_dir)
+        if not sums.settled(batch_id):
+            sums.put(batch_id, volume_over_time(batch))
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -131,8 +139,8 @@ def volume_stream(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataS
 
 def volume(spark: SparkSession, out_dir: str) -> DataFrame:
     """Posts per hour and topic over all batches so far."""
-    partial = spark.read.schema("hour timestamp, topic string, tweet_count long").parquet(out_dir)
-    return partial.groupBy("hour", "topic").agg(F.sum("tweet_count").alias("tweet_count"))
+    total = volume_sums(spark, out_dir).total()
+    return total if total is not None else spark.createDataFrame([], "hour timestamp, topic string, tweet_count long")
 
 
 class StreamReport(StreamingQueryListener):
