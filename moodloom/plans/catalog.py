@@ -385,17 +385,19 @@ def stream_ingest(spark, sf):
 
 
 def stream_dedup(spark, sf):
+    """Each id once, with its first arrival."""
     base = workspace(spark, "dedup")
-    query = (
-        stream.dedup_stream(stream.read_posts_stream(spark, sf, FILES_PER_BATCH))
-        .select("tweet_id")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/progress")
-        .trigger(availableNow=True)
-        .start(f"{base}/ids")
-    )
-    query.awaitTermination()
-    return spark.read.schema("tweet_id string").parquet(f"{base}/ids")
+    source = stream.read_posts_stream(spark, sf, FILES_PER_BATCH).select("tweet_id", "arrival_seq")
+    stream.write_unique(source, f"{base}/ids", f"{base}/progress").start().awaitTermination()
+    return spark.read.schema("tweet_id string, arrival_seq long").parquet(f"{base}/ids").drop("batch_id")
+
+
+def stream_target(spark, sf):
+    """A stream that ends at its target."""
+    base, name = workspace(spark, "target"), _raw_table(spark)
+    source = stream.read_posts_stream(spark, sf, FILES_PER_BATCH)
+    stream.collect_until(source, name, f"{base}/bad", f"{base}/progress", CAP)
+    return spark.table(name).select("arrival_seq", "tweet_id", "topic")
 
 
 def stream_volume(spark, sf):
@@ -467,6 +469,7 @@ QUERIES = {
     "run_log": run_log,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
+    "stream_target": stream_target,
     "stream_volume": stream_volume,
     "stream_score": stream_score,
 }

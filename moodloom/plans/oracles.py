@@ -540,7 +540,9 @@ def oracle_sql() -> dict[str, str]:
             FROM prepared UNION ALL SELECT 0, true, NULL"""),
         "stream_ingest": _with(POSTS, COLLECTED, select="""SELECT arrival_seq, tweet_id, topic, lang, retweet_count, like_count
             FROM collected"""),
-        "stream_dedup": _with(POSTS, select="SELECT DISTINCT tweet_id FROM posts"),
+        "stream_dedup": _with(POSTS, select="SELECT tweet_id, min(arrival_seq) AS arrival_seq FROM posts GROUP BY tweet_id"),
+        "stream_target": _with(POSTS, COLLECTED, select="""SELECT arrival_seq, tweet_id, topic FROM collected
+            ORDER BY arrival_seq LIMIT 500"""),
         "stream_volume": volume,
         "stream_score": _with(*LR, *_scored_by_lr("prepared", "weights", "label"),
             select="""SELECT tweet_id, vader_compound, s.sentiment AS vader_sentiment, label AS sentiment

@@ -35,6 +35,13 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the tables under a folder that were written to their end."""
+    at, files = _path(spark, path)
+    names = [str(s.getPath().getName()) for s in files.listStatus(at)] if files.exists(at) else []
+    return sorted(n for n in names if written(spark, f"{path}/{n}"))
+
+
 @dataclass(frozen=True)
 class Part:
     name: str  # of the batch or change; of the folder if it was added up
@@ -50,12 +57,7 @@ class PartialStore:
         self.spark, self.path, self.keys, self.sums, self.fan = spark, path, keys, sums, fan
 
     def _versions(self) -> list[int]:
-        at, files = _path(self.spark, f"{self.path}/listing")
-        if not files.exists(at):
-            return []
-        names = [str(s.getPath().getName()) for s in files.listStatus(at)]
-        done = [int(n) for n in names if n.isdigit() and written(self.spark, f"{self.path}/listing/{n}")]
-        return sorted(done)
+        return sorted(map(int, folders(self.spark, f"{self.path}/listing")))
 
     def parts(self) -> list[Part]:
         """The parts that count; there are few."""
@@ -117,11 +119,3 @@ class PartialStore:
         """The sums of all that was put, or None before the first part."""
         parts = self.parts()
         return self._added(parts) if parts else None
-
-    def touched(self, batch_ids: list[int], key: str) -> list:
-        """Values of a key in the parts of these batches that are still by themselves."""
-        own = [p for p in self.parts() if p.level == 0 and p.last_batch in batch_ids]
-        found = set()
-        for p in own:
-            found |= {r[0] for r in self.spark.read.parquet(p.folder).select(F.col(key)).distinct().collect()}
-        return sorted(v for v in found if v is not None)

@@ -17,7 +17,7 @@ from moodloom.operators.ingest import collect
 from moodloom.operators.marts import fact_tweets
 from moodloom.plans.scheduled_run import label_posts, log_run
 from moodloom.sources.tables import append_new, fresh_rows
-from moodloom.streaming.partials import PartialStore, delete, written
+from moodloom.streaming.partials import PartialStore, delete, folders, written
 from moodloom.streaming.posts import StreamReport, _sound
 
 
@@ -114,7 +114,7 @@ def publish(spark: SparkSession, out_dir: str, metrics: DataFrame | None = None)
     marts, touched = f"{out_dir}/marts", f"{out_dir}/touched"
     total = report_sums(spark, out_dir).total()
     total = total.coalesce(1).persist()  # bounded by the calendar
-    noted = _folders(spark, touched)
+    noted = folders(spark, touched)
     dates = set()
     for name in noted:
         dates |= {r["date"] for r in spark.read.schema("date date").parquet(f"{touched}/{name}").collect()}
@@ -142,13 +142,6 @@ def publish(spark: SparkSession, out_dir: str, metrics: DataFrame | None = None)
     return spark.createDataFrame(manifest, "table_name string, rows long")
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [str(s.getPath().getName()) for s in files.listStatus(at)] if files.exists(at) else []
-    return sorted(n for n in names if written(spark, f"{path}/{n}"))
-
-
 def run_pending(
     stream: DataFrame,
     table: str,
@@ -178,7 +171,7 @@ def run_pending(
         try:
             query.awaitTermination()
             # Also after a run that ended between its batches and its reports.
-            if _folders(spark, f"{out_dir}/touched"):
+            if folders(spark, f"{out_dir}/touched"):
                 publish(spark, out_dir, metrics).write.mode("overwrite").parquet(f"{out_dir}/manifest")
         except Exception as failure:  # logged, as in a scheduled run
             error = str(failure)

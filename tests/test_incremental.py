@@ -121,7 +121,7 @@ def check(spark, out):
     for name in cube.REPORTS:
         assert same_rows(spark.read.parquet(f"{out}/marts/{name}"), marts.MARTS[name](rows)), name
     assert same_rows(spark.read.parquet(f"{out}/marts/Fact_Tweets").drop("batch_id"), marts.fact_tweets(rows))
-    assert runs._folders(spark, f"{out}/touched") == []
+    assert partials.folders(spark, f"{out}/touched") == []
 
 
 def test_a_run_writes_only_touched_dates_and_reads_no_old_post(spark, words_and_model, tmp_path):

@@ -66,23 +66,61 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
     assert spark.table("raw_repeated").count() == 1 and spark.read.parquet(str(tmp_path / "bad")).count() == 1
 
 
-def test_ingest_stops_at_target(spark, tmp_path):
-    write_files(tmp_path / "in", [[post(1, "a"), post(2, "b")], [post(3, "c"), post(4, "d")]])
-    source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+def test_collection_ends_at_its_target_over_files_and_a_restart(spark, tmp_path):
+    lines = [[post(10 * f + i, f"{f}-{i}") for i in range(3)] + [post(10 * f + 5, "0-0"), "{bad"] for f in range(4)]
+    write_files(tmp_path / "in", lines[:1])
     init_raw_table(spark, "raw_target", 4, str(tmp_path / "out"))
-    stream.ingest_stream(source, "raw_target", str(tmp_path / "bad"), str(tmp_path / "p"), target=3).start().awaitTermination()
-    assert [r.tweet_id for r in spark.table("raw_target").orderBy("arrival_seq").collect()] == ["a", "b", "c"]
+    source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+    where = "raw_target", str(tmp_path / "bad"), str(tmp_path / "p")
 
+    def rows():
+        return [r.tweet_id for r in spark.table("raw_target").orderBy("arrival_seq").collect()]
 
-def test_dedup_state_spans_batches(spark, tmp_path):
-    write_files(tmp_path / "in", [[post(1, "a"), post(2, "b")], [post(3, "a"), post(4, "c")]])
-    source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
-    query = (
-        stream.dedup_stream(source).select("tweet_id").writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "p")).trigger(availableNow=True).start(str(tmp_path / "out"))
-    )
-    query.awaitTermination()
-    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+    # The first call ends with its input, the next goes on where it stopped.
+    assert stream.collect_until(source, *where, target=5) == 3 and len(rows()) == 3
+    for i, file in enumerate(lines[1:], 1):
+        (tmp_path / "in" / f"{i}.json").write_text("\n".join(file))
+        time.sleep(0.02)
+    assert stream.collect_until(source, *where, target=5, interval="100 milliseconds") == 5
+    assert rows() == ["0-0", "0-1", "0-2", "1-0", "1-1"] and not spark.streams.active
+    # Once reached, nothing is started.
+    assert stream.collect_until(source, *where, target=5) == 5 and len(rows()) == 5
+
+
+def test_a_repeated_batch_does_not_pass_the_target(spark, tmp_path):
+    source = spark.read.schema(stream.ARRIVING_TWEETS)
+    (tmp_path / "in.json").write_text("\n".join(post(i, str(i)) for i in range(6)))
+    batch = source.json(str(tmp_path / "in.json"))
+    init_raw_table(spark, "raw_target_again", 4, str(tmp_path / "out"))
+    goal = stream.Target(spark, "raw_target_again", str(tmp_path / "bad"), str(tmp_path / "state"), 4)
+    goal.write(batch.where("arrival_seq < 3"), 0)
+    for _ in range(2):
+        goal.write(batch, 1)
+        assert goal.reached and goal.total == 4
+        assert [r.arrival_seq for r in spark.table("raw_target_again").orderBy("arrival_seq").collect()] == [0, 1, 2, 3]
+    again = stream.Target(spark, "raw_target_again", str(tmp_path / "bad"), str(tmp_path / "state"), 4)
+    assert again.reached
+
+
+def test_an_id_comes_once_for_ever(spark, tmp_path):
+    """Over batches, restarts and any time of the posts; of a batch's copies the first stays."""
+    out, progress = str(tmp_path / "out"), str(tmp_path / "p")
+    (tmp_path / "in").mkdir()
+    files = [
+        [post(3, "a"), post(2, "a", "first"), post(4, "b")],
+        [post(1, "a", "earlier, but later"), post(5, "c")],
+        [post(6, "b"), post(7, None), post(8, None)],
+        [post(9, None), post(10, "a"), post(11, "d"), post(12, "d")],
+    ]
+    for i, lines in enumerate(files):
+        (tmp_path / "in" / f"{i}.json").write_text("\n".join(lines))
+        source = stream.read_json_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+        source = source.select("tweet_id", "arrival_seq", "text")
+        stream.write_unique(source, out, progress).start().awaitTermination()
+    rows = sorted(((r.tweet_id or "", r.arrival_seq) for r in spark.read.parquet(out).collect()))
+    assert rows == [("", 7), ("a", 2), ("b", 4), ("c", 5), ("d", 11)]
+    state = spark.read.format("statestore").load(progress).count()
+    assert state == 5
 
 
 def test_volume_sums_batches(spark, tmp_path):
