@@ -44,6 +44,16 @@ STREAM_RULES = [
 ]
 
 
+# The rules as they are handed to a stream, as (text, tag).
+STREAM_RULE_TEXTS = [
+    ("ChatGPT OR OpenAI OR LLM lang:en -is:retweet", "AI"),
+    ("climate change OR COP30 lang:en -is:retweet", "Climate"),
+    ("Champions League OR NBA lang:en -is:retweet", "Sports"),
+    ("election OR senate lang:en -is:retweet", "Politics"),
+    ("Bitcoin OR Ethereum OR DeFi lang:en -is:retweet", "Crypto"),
+]
+
+
 def is_retweet(text: Column) -> Column:
     return F.coalesce(text.startswith("RT "), F.lit(False))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from moodloom.functions import dictionaries, topics
 from moodloom.functions import text as tx
 from moodloom.functions.dates import with_time_columns
-from moodloom.operators import evaluation, features, ingest, marts, sentiment, split, trends
+from moodloom.operators import evaluation, features, ingest, marts, rules, sentiment, split, trends
 from moodloom.operators.classifiers import SentimentModel, decided, predict_sentiment
 from moodloom.operators.preprocess import lemmatize, preprocess, seed_lemmas
 from moodloom.plans import scheduled_run, training
@@ -110,13 +110,12 @@ def topic_detect(spark, sf):
 
 
 def stream_rules(spark, sf):
+    """The tags of the rules as text, in both readings."""
     rows = ingest.with_defaults(posts(spark, sf))
-    text, lang = F.col("text"), F.col("lang")
-    return rows.select(
-        "arrival_seq",
-        joined(topics.matched_tags(text, lang)).alias("tags"),
-        joined(topics.matched_tags(text, lang, precedence="strict")).alias("strict_tags"),
-    )
+    for out, precedence in (("tags", "intended"), ("strict_tags", "strict")):
+        table = rules.rule_table(spark, topics.STREAM_RULE_TEXTS, precedence)
+        rows = rules.with_rule_tags(rows, table, out=out)
+    return rows.select("arrival_seq", joined(F.col("tags")).alias("tags"), joined(F.col("strict_tags")).alias("strict_tags"))
 
 
 # Text
