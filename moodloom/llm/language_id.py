@@ -27,9 +27,9 @@ BATCH = 64
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 UNKNOWN = "und"
-# Bounds of the training sample: documents of one language, and languages (the most frequent).
+# Bounds of the training sample: documents of one language, and of all. Every language has its share.
 DOCS_PER_LANG = 1_500
-MAX_LANGS = 100
+DOCS = 60_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -145,22 +145,26 @@ def has_letters(text) -> object:
 
 
 def sample_windows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> tuple[list[str], list[str]]:
-    """Texts and languages to learn from: of about ``docs_per_lang`` documents of each of the
-    ``MAX_LANGS`` most frequent languages, chosen by a hash of the id, one window at a random
-    place and one short piece. Reads (doc_id, text, lang); only these pieces reach the driver."""
+    """Texts and languages to learn from: of about ``docs_per_lang`` documents of each language (fewer where all
+    would be more than ``DOCS``), chosen by a hash of the id, one window at a random place and one short piece. Reads
+    (doc_id, text, lang); only these pieces, and a count for each language, reach the driver."""
     rows = labelled.where(F.col("lang").isNotNull() & has_letters(F.col("text"))).select(
         "doc_id", "lang", "text"
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return [], []
-    chance = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], docs_per_lang / r["count"])])
+    each = max(1, min(docs_per_lang, DOCS // len(counts)))
+    chances = labelled.sparkSession.createDataFrame(
+        [(r["lang"], each / r["count"]) for r in counts], "lang string, chance double"
+    )
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1_000_000)) / 1e6
     start = F.pmod(F.xxhash64(F.lit("start"), "doc_id"), F.greatest(F.length("text") - WINDOW, F.lit(1))) + 1
     start = start.cast("int")
     size = (F.pmod(F.xxhash64(F.lit("size"), "doc_id"), F.lit(60)) + 12).cast("int")
     picked = (
-        rows.where(draw < F.element_at(chance, F.col("lang")))
+        rows.join(F.broadcast(chances), "lang")  # a row for each language
+        .where(draw < F.col("chance"))
         .select(
             "lang",
             F.explode(
@@ -168,7 +172,9 @@ def sample_windows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> t
             ).alias("piece"),
         )
         .where(has_letters(F.col("piece")))
-        .limit(3 * docs_per_lang * len(counts))
+        # Repeated ids are drawn together; the order makes the bound take the same pieces every time.
+        .orderBy(F.xxhash64("lang", "piece"), "lang", "piece")
+        .limit(3 * each * len(counts))
         .collect()
     )
     picked.sort(key=lambda r: (r["lang"], r["piece"]))

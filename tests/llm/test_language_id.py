@@ -66,3 +66,21 @@ def test_windows_cover_whole_texts():
     windows, owner, filled = lid.cut_windows(data, np.array([0, 600, 600, 856]))
     assert owner.tolist() == [0, 0, 0, 1, 2] and filled.tolist() == [256, 256, 88, 1, 256]
     assert (windows[owner == 0] == ord("x")).sum() == 600 and (windows[4] == ord("y")).all()
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """150 languages, each with words of its own; the bound on all rows leaves a share to each."""
+    monkeypatch.setattr(lid, "DOCS", 150 * 8)
+    rows = []
+    for n in range(150):
+        word = "".join(chr(97 + (n * k + n // 26 + k * k) % 26) for k in range(1, 6)) + chr(97 + n % 26) + chr(97 + n // 26)
+        rows += [(1000 * n + i, f"{word} " * 40, f"lang{n:03d}") for i in range(12)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    texts, langs = lid.sample_windows(labelled)
+    assert len(set(langs)) == 150 and len(texts) <= 3 * 8 * 150
+    assert (texts, langs) == lid.sample_windows(labelled.repartition(7))
+    model = lid.train(texts, langs)
+    assert len(model.langs) == 150
+    judged = lid.annotate(labelled, model)
+    right, n = judged.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert right / n > 0.9
