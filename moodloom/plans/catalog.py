@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodloom.functions import dictionaries, topics
+from moodloom.functions import dictionaries, sql, topics
 from moodloom.functions import text as tx
 from moodloom.functions.dates import with_time_columns
 from moodloom.operators import evaluation, features, ingest, marts, rules, sentiment, split, trends
@@ -319,6 +319,30 @@ def predict_batch(spark, sf):
     )
 
 
+# SQL text
+
+
+def sql_functions(spark, sf):
+    """The functions called in SQL text, over all posts."""
+    sql.register(spark)
+    return spark.sql(
+        """SELECT arrival_seq, clean_tweet(text) AS clean_text, topic(text) AS topic, is_retweet(text) AS is_retweet,
+        size(hashtags(text)) AS n_tags, t.*
+        FROM {posts}, LATERAL time_columns(CAST(created_at AS TIMESTAMP)) t""",
+        posts=posts(spark, sf),
+    )
+
+
+def sql_labels(spark, sf):
+    """Posts by topic and label, both from functions in SQL text."""
+    sql.register(spark)
+    return spark.sql(
+        """SELECT topic(text) AS topic, vader_label(vader_compound) AS sentiment, count(*) AS n
+        FROM {scored} GROUP BY topic(text), vader_label(vader_compound)""",
+        scored=scored(spark, sf, "text"),
+    )
+
+
 # Sinks and runs
 
 
@@ -461,6 +485,8 @@ QUERIES = {
     "train_svc": train_svc,
     "model_metrics": model_metrics,
     "predict_batch": predict_batch,
+    "sql_functions": sql_functions,
+    "sql_labels": sql_labels,
     "csv_roundtrip": csv_roundtrip,
     "raw_table": raw_table,
     "export_manifest": export_manifest,

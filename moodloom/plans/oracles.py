@@ -515,6 +515,10 @@ def oracle_sql() -> dict[str, str]:
             FROM (VALUES {', '.join(f"({i}, '{s}')" for i, s in enumerate(SENTIMENTS))}) c(position, actual)
             LEFT JOIN predicted ON sentiment = actual GROUP BY position, actual"""),
         "classification_report": _with(*NB, select="")[:-1] + _report(),
+        "sql_functions": _with(*TOKENIZED[:2], select=f"""SELECT arrival_seq, clean_text, {_TOPIC} AS topic,
+            starts_with(text, 'RT ') AS is_retweet, CAST(len(regexp_extract_all(text, {_q(tx.HASHTAG)}, 1)) AS INT) AS n_tags,
+            {_TIMES} FROM cleaned"""),
+        "sql_labels": _with(*SCORED, select=f"SELECT {_TOPIC} AS topic, sentiment, count(*) AS n FROM scored GROUP BY ALL"),
         "csv_roundtrip": _with(*READY, select="""SELECT tweet_id, username, text, topic, lang, retweet_count, like_count, created_at,
             clean_text, processed_text, text_length, word_count FROM prepared"""),
         "export_manifest": _with(*REPORTED, select=f"""SELECT 'Fact_Tweets' AS table_name, count(*) AS rows FROM reported
