@@ -23,36 +23,42 @@ NOUN_SUFFIXES = [
     ("ies", "y"),
 ]
 
+LEMMA_STEPS = 2
 MIN_WORDS = 3
 
 
-def lemma_table(nouns: DataFrame, irregular: DataFrame) -> DataFrame:
+def lemma_table(nouns: DataFrame, irregular: DataFrame, steps: int = LEMMA_STEPS) -> DataFrame:
     """``(token, lemma)`` for every inflected form whose lemma differs from it.
 
-    The suffix rules run backwards from the vocabulary, once, so that lemmatizing
-    a corpus is one lookup per token. Of several lemmas the shortest wins, then
-    the unchanged word, then rule order; irregular forms skip the rules. Rules
-    are applied once, not repeatedly.
+    Endings are taken off until a word of the vocabulary is left: at most ``steps`` times, and what lies
+    between need not be a word. The rules run backwards from the vocabulary, so that lemmatizing a
+    corpus is one lookup per token; each step about triples the table. A form's lemmas are those of
+    the fewest steps, the word itself and one step counting alike; of several the shortest
+    wins, then the unchanged word, then rule order. Irregular forms skip the rules. Steps never
+    lengthen a word and no rule undoes another, so there is no way round in a circle.
     """
-    lemma = F.col("token")
-    forms = [F.struct(lemma.alias("form"), F.lit(0).alias("rank"))]
-    for rank, (ending, base) in enumerate(NOUN_SUFFIXES, start=1):
-        stem = F.substring(lemma, F.lit(1), F.length(lemma) - len(base))
-        forms.append(
-            F.when(
-                lemma.endswith(base),
-                F.struct(F.concat(stem, F.lit(ending)).alias("form"), F.lit(rank).alias("rank")),
-            )
-        )
-    regular = (
-        nouns.select(lemma.alias("lemma"), F.explode(F.array_compact(F.array(*forms))).alias("f"))
-        .select("lemma", "f.*")
-        .join(irregular.select(F.col("token").alias("form")), "form", "left_anti")
+    word = F.col("form")
+    level = nouns.select(
+        F.col("token").alias("form"), F.col("token").alias("lemma"), F.lit(0).alias("steps"), F.lit("").alias("rank")
     )
-    listed = irregular.select(F.col("token").alias("form"), "lemma", F.lit(1).alias("rank"))
-    best = F.min_by("lemma", F.struct(F.length("lemma"), F.col("rank")))
+    forms = level
+    for step in range(1, steps + 1):
+        grown = []
+        for rank, (ending, base) in enumerate(NOUN_SUFFIXES, start=1):
+            stem = F.substring(word, F.lit(1), F.length(word) - len(base))
+            # The rule taken last on the way back is the first on the way to the lemma.
+            way = F.concat(F.lit(str(rank)), F.col("rank"))
+            grown.append(F.when(word.endswith(base), F.struct(F.concat(stem, F.lit(ending)).alias("form"), way.alias("rank"))))
+        level = level.select("lemma", F.explode(F.array_compact(F.array(*grown))).alias("f")).select(
+            "f.form", "lemma", F.lit(step).alias("steps"), "f.rank"
+        )
+        forms = forms.unionByName(level)
+    regular = forms.join(irregular.select(F.col("token").alias("form")), "form", "left_anti")
+    listed = irregular.select(F.col("token").alias("form"), "lemma", F.lit(1).alias("steps"), F.lit("").alias("rank"))
+    # The word itself has the empty rank, which is the least.
+    best = F.min_by("lemma", F.struct(F.greatest("steps", F.lit(1)), F.length("lemma"), F.col("rank")))
     return (
-        regular.select("form", "lemma", "rank")
+        regular.select("form", "lemma", "steps", "rank")
         .unionByName(listed)
         .groupBy("form")
         .agg(best.alias("lemma"))

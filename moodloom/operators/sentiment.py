@@ -18,7 +18,7 @@ them by value.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,29 +36,69 @@ DISTANCE_WEIGHT = {1: 1.0, 2: 0.95, 3: 0.9}
 EXCLAMATION, EXCLAMATION_MAX = 0.292, 4
 QUESTION, QUESTION_MANY = 0.18, 0.96
 POSITIVE_FROM, NEGATIVE_TO = 0.05, -0.05
-FIRST_EMOJI = "\u00a9"  # the copyright sign; all other emoji have higher code points
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def describe_emoji(text: Column, emoji: Mapping[str, str]) -> Column:
-    """Replace each one-character emoji by its description.
+def _ranges(chars: Iterable[str]) -> str:
+    """The inside of a bracket expression for these characters."""
+    spans: list[list[int]] = []
+    for code in sorted(map(ord, set(chars))):
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
+
+
+def sequence_pattern(sequences: Iterable[str]) -> str:
+    """A pattern whose matches cut any text whole: the longest of the sequences that begins at a place, else one character.
 
-    A space goes before the description unless the character before it is one.
+    Sequences with a common beginning share it, so a place is tried once for each way to go on; characters that
+    begin no sequence are told by their range.
     """
-    names = F.create_map(*[F.lit(x) for pair in emoji.items() for x in pair])
-    chars = F.split(text, "")
-    previous = F.slice(F.concat(F.array(F.lit(" ")), chars), F.lit(1), F.size(chars))
+    tree: dict = {}
+    for sequence in sequences:
+        node = tree
+        for char in sequence:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        ways = [f"\\x{{{ord(char):x}}}{written(after)}" for char, after in sorted(node.items()) if char]
+        if not ways:
+            return ""
+        return f"(?:{'|'.join(ways)})" + ("?" if "" in node else "")
+
+    if not tree:
+        return "(?s:.)"
+    tree.pop("", None)
+    return f"[^{_ranges(tree)}]|{written(tree)}|(?s:.)"
 
-    def spell(char: Column, before: Column) -> Column:
-        name = F.when(char >= FIRST_EMOJI, F.element_at(names, char))
+
+def describe_emoji(text: Column, emoji: Mapping[str, str]) -> Column:
+    """Replace each emoji by its description; of several that begin at a place, the longest counts.
+
+    An emoji may be a sequence (with joiners, variation selectors, skin tones). A space goes before the description
+    unless the character before it is one. The names are one constant of the plan, looked up for emoji only.
+    """
+    emoji = {k: v for k, v in emoji.items() if k}
+    if not emoji:
+        return text
+    firsts = _ranges(k[0] for k in emoji)
+    names = F.map_from_arrays(F.array(*map(F.lit, emoji)), F.array(*map(F.lit, emoji.values())))
+    cuts = F.regexp_extract_all(text, F.lit(sequence_pattern(emoji)), F.lit(0))
+    before = F.slice(F.concat(F.array(F.lit(" ")), cuts), F.lit(1), F.size(cuts))
+
+    def spell(cut: Column, previous: Column) -> Column:
+        name = F.when(cut.rlike(f"^[{firsts}]"), F.try_element_at(names, cut))
         return (
-            F.when(name.isNull(), char)
-            .when(before == " ", name)
+            F.when(name.isNull(), cut)
+            .when(previous == " ", name)
             .otherwise(F.concat(F.lit(" "), name))
         )
 
-    spelled = F.array_join(F.zip_with(chars, previous, spell), "")
-    return F.when(text.rlike(f"[{FIRST_EMOJI}-\\x{{10ffff}}]"), spelled).otherwise(text)
+    spelled = F.array_join(F.zip_with(cuts, before, spell), "")
+    return F.when(text.rlike(f"[{firsts}]"), spelled).otherwise(text)
 
 
 def _is_upper(word: Column) -> Column:

@@ -105,18 +105,27 @@ def _tokenized(source: str, key: str) -> list[str]:
    lambda t: length(t) > 2 AND t NOT IN {_in(words.default_stopwords())}) AS tokens) FROM tokenized)""",
         f"irregular(form, lemma) AS (VALUES {_values(words.SEED_IRREGULAR)})",
         f"places AS (SELECT {key}, unnest(tokens) AS t, generate_subscripts(tokens, 1) AS i FROM kept)",
-        f"""lemmas AS (SELECT {key}, i, CASE WHEN r.form IS NOT NULL THEN r.lemma ELSE coalesce(list_reduce(
-    list_filter([t, {', '.join(_suffix(a, b) for a, b in NOUN_SUFFIXES)}],
-     lambda c: c IN {_in(words.SEED_NOUNS)}),
-    lambda a, b: CASE WHEN a IS NULL OR length(b) < length(a) THEN b ELSE a END, CAST(NULL AS VARCHAR)), t) END AS lemma
+        f"""lemmas AS (SELECT {key}, i, CASE WHEN r.form IS NOT NULL THEN r.lemma ELSE coalesce(
+    {_shortest(f"list_concat([t], {_stripped('[t]')})")}, {_shortest(_stripped(_stripped('[t]')))}, t) END AS lemma
    FROM places LEFT JOIN irregular r ON r.form = t)""",
         f"""lemmatized AS (SELECT k.* EXCLUDE (tokens), coalesce(l.tokens, []) AS tokens FROM kept k LEFT JOIN
    (SELECT {key}, list(lemma ORDER BY i) AS tokens FROM lemmas GROUP BY {key}) l USING ({key}))""",
     ]
 
 
-def _suffix(ending: str, base: str) -> str:
-    return f"CASE WHEN ends_with(t, '{ending}') THEN left(t, length(t) - {len(ending)}) || '{base}' END"
+def _stripped(words_: str) -> str:
+    """All words that one noun ending less makes of a list of words."""
+    rules = ", ".join(
+        f"CASE WHEN ends_with(w, '{ending}') THEN left(w, length(w) - {len(ending)}) || '{base}' END"
+        for ending, base in NOUN_SUFFIXES
+    )
+    return f"list_filter(flatten(list_transform({words_}, lambda w: [{rules}])), lambda c: c IS NOT NULL)"
+
+
+def _shortest(words_: str) -> str:
+    """The first of the shortest of a list's words that are nouns."""
+    return f"""list_reduce(list_filter({words_}, lambda c: c IN {_in(words.SEED_NOUNS)}),
+     lambda a, b: CASE WHEN a IS NULL OR length(b) < length(a) THEN b ELSE a END, CAST(NULL AS VARCHAR))"""
 
 
 PREPARED = """prepared AS (SELECT * FROM (
@@ -428,9 +437,14 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
 
 
 def _emoji(text: str) -> str:
-    for char, name in words.SEED_EMOJI.items():
-        text = f"replace(regexp_replace({text}, '(^| ){char}', '\\1{name}', 'g'), '{char}', ' {name}')"
-    return text
+    """The text with its emoji described: cut at the longest of them, else at characters."""
+    longest = sorted(words.SEED_EMOJI, key=len, reverse=True)
+    cuts = f"regexp_extract_all({text}, '(?s){'|'.join(longest)}|.')"
+    names = " ".join(
+        f"WHEN '{e}' THEN CASE WHEN struct_extract(x, 2) = ' ' THEN '' ELSE ' ' END || '{words.SEED_EMOJI[e]}'" for e in longest
+    )
+    pairs = f"list_zip({cuts}, list_prepend(' ', {cuts}), true)"
+    return f"array_to_string(list_transform({pairs}, lambda x: CASE struct_extract(x, 1) {names} ELSE struct_extract(x, 1) END), '')"
 
 
 def _top(source: str, name: str) -> str:

@@ -141,6 +141,42 @@ def test_emoji_descriptions(spark):
     assert got == ["grinning face!!", "so grinning face face with tears of joy ok", "plain"]
 
 
+def longest_match(text, emoji):
+    """Described text, by trying every length at every place."""
+    longest, at, out, before = max(map(len, emoji)), 0, "", " "
+    while at < len(text):
+        for size in range(min(longest, len(text) - at), 0, -1):
+            cut = text[at : at + size]
+            if cut in emoji or size == 1:
+                break
+        name = emoji.get(cut)
+        out += cut if name is None else name if before == " " else " " + name
+        before, at = cut, at + len(cut)
+    return out
+
+
+def test_five_thousand_emoji_sequences(spark):
+    rng = random.Random(8)
+    bases = [chr(c) for c in [*range(0x1F300, 0x1F64F), 0x2764, 0xA9, 0x231A]]
+    tones, joiner, variant = [chr(c) for c in range(0x1F3FB, 0x1F400)], "\u200d", "\ufe0f"
+    emoji = {b: f"sign {i}" for i, b in enumerate(bases[::3])}
+    while len(emoji) < 5000:
+        parts = [rng.choice(bases) + rng.choice(["", variant, *tones]) for _ in range(rng.randint(1, 4))]
+        emoji.setdefault(joiner.join(parts), f"sequence {len(emoji)}")
+    alphabet = [*bases, *tones, joiner, variant, " ", "a", "é", "漢", "\n", "!"]
+    keys = list(emoji)
+    texts = ["", " ", "plain", "é漢 no emoji", keys[-1] * 50, keys[-1][:-1], "x" * 20_000 + keys[-2]]
+    for _ in range(150):
+        texts.append("".join(rng.choice(keys) if rng.random() < 0.4 else rng.choice(alphabet) for _ in range(rng.randint(1, 30))))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "i int, t string")
+    got = {r.i: r.d for r in df.select("i", s.describe_emoji(F.col("t"), emoji).alias("d")).collect()}
+    assert got.pop(-1) is None
+    for i, text in enumerate(texts):
+        assert got[i] == longest_match(text, emoji), i
+    assert "Python" not in plan_of(df.select(s.describe_emoji(F.col("t"), emoji)))
+    assert df.select(s.describe_emoji(F.col("t"), {}).alias("t")).collect() == df.select("t").collect()
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

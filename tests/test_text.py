@@ -130,3 +130,50 @@ def test_time_columns_match_strftime(spark, hour):
             t.strftime("%Y-W%U"), t.strftime("%Y-%m"), t.strftime("%A"),
         )
         assert (r.date, r.hour_of_day) == (t.date(), hour)
+
+
+def stripped(word):
+    """What one noun ending less leaves, in rule order."""
+    from moodloom.operators.preprocess import NOUN_SUFFIXES
+
+    return [word[: -len(ending)] + base for ending, base in NOUN_SUFFIXES if word.endswith(ending)]
+
+
+def plain_lemma(word, nouns, irregular, steps):
+    if word in irregular:
+        return irregular[word]
+    forms, taken = [word], 0
+    found = [word] if word in nouns else []
+    while taken < steps:
+        forms = [f for w in forms for f in stripped(w)]
+        taken += 1
+        found += [f for f in forms if f in nouns]
+        if found:
+            return min(found, key=len)
+    return word
+
+
+@pytest.mark.parametrize("steps", [1, 2, 3])
+def test_lemmas_of_several_steps(spark, steps):
+    """Forms whose middle is no word, rules that meet, irregular words that lead to each other, and a large vocabulary."""
+    import random
+
+    from moodloom.operators.preprocess import lemma_table
+
+    rng = random.Random(steps)
+    nouns = {"bus", "glass", "as", "man", "fox", "half", "city", "boss", "bos", "church", "x", "axe", "ax", "ss", "s"}
+    nouns |= {"".join(rng.choice("aeshxzfvmnc") for _ in range(rng.randint(2, 6))) for _ in range(3000)}
+    irregular = {"a1": "b1", "b1": "a1", "mice": "mouse", "foxes": "vixen"}
+    table = lemma_table(
+        spark.createDataFrame([(n,) for n in sorted(nouns)], "token string"),
+        spark.createDataFrame(list(irregular.items()), "token string, lemma string"),
+        steps,
+    )
+    got = {r.token: r.lemma for r in table.collect()}
+    endings = ["", "s", "ses", "ves", "xes", "zes", "ches", "shes", "men", "ies"]
+    words = set(irregular) | nouns | {n[:k] + a + b for n in sorted(nouns)[::7] for k in (len(n), len(n) - 1) for a in endings for b in endings}
+    for word in words:
+        assert got.get(word, word) == plain_lemma(word, nouns, irregular, steps), word
+    changed = [w for w in words if plain_lemma(w, nouns, irregular, steps) != w]
+    assert len(changed) > 500 and got["a1"] == "b1" and got["b1"] == "a1"
+    assert (got.get("busess") == "bus") == (steps > 1)
