@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from moodloom.session import materialize
 
+HOT_SHARE = 1_000
 MIN_WORDS = 50
 
 
@@ -148,12 +149,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", min_words: int = MIN
     place = F.struct(*key, "seq")
     firsts = (
         named.groupBy(*interval)
-        .agg(F.min(place).alias("kept"), F.max(place).alias("end"))
+        .agg(F.min(place).alias("kept"), F.max(place).alias("end"), F.count(F.lit(1)).alias("n"))
         .where("kept <> end")
         .drop("end")
     )
+    firsts = materialize(firsts, "firsts")
+    # An interval with more than a thousandth of all runs would be a task of its own; there are less than a thousand.
+    is_hot = F.col("n") * HOT_SHARE > named.count()
+    hot = firsts.where(is_hot).select(*interval, "kept")
+    marked = named.join(F.broadcast(hot), interval, "left")
+    others = marked.where("kept is null").drop("kept").join(firsts.where(~is_hot).drop("n"), interval)
     same = F.col("doc").eqNullSafe(F.col("kept.doc")) & (F.col("ver") == F.col("kept.ver"))
-    later = named.join(firsts, interval).where(~same | (F.col("seq") >= F.col("kept.seq") + F.col("m")))
+    copies = marked.where("kept is not null").unionByName(others)
+    later = copies.where(~same | (F.col("seq") >= F.col("kept.seq") + F.col("m")))
     deleted = later.select(*key, F.explode(F.sequence("first", "last")).alias("line"))
     return deleted.groupBy(*key).agg(F.collect_set("line").alias("lines"))
 
