@@ -12,7 +12,6 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from moodloom.operators.cube import added
 
