@@ -67,14 +67,15 @@ def test_no_posts(spark):
 
 
 def test_parts_are_added_up_level_by_level(spark, tmp_path):
-    sums = partials.PartialStore(spark, str(tmp_path), ["k"], ["n"], fan=3)
+    sums = partials.PartialStore(spark, str(tmp_path), ["k"], ["n"], fan=2)
     assert sums.total() is None and not sums.settled(0)
     expected, most = {}, 0
-    for batch in range(11):
+    for batch in range(6):
         rows = [(f"k{batch % 4}", batch), (None, 1), (f"only{batch}", 1)]
         table = spark.createDataFrame(rows, "k string, n long")
         sums.put(batch, table)
-        sums.put(batch, table)  # run again
+        if batch % 3 == 1:
+            sums.put(batch, table)  # run again
         for k, n in rows:
             expected[k] = expected.get(k, 0) + n
         most = max(most, len(sums.parts()))
@@ -83,7 +84,7 @@ def test_parts_are_added_up_level_by_level(spark, tmp_path):
     assert most <= 8 and max(p.level for p in sums.parts()) >= 2 and sums.settled(0)
     assert len(list((tmp_path / "parts").iterdir())) == len(sums.parts())
     assert len(list((tmp_path / "listing").iterdir())) == 1
-    sums.put(11, spark.createDataFrame([("only3", -1)], "k string, n long"), "taken back")
+    sums.put(6, spark.createDataFrame([("only3", -1)], "k string, n long"), "taken back")
     assert "only3" not in {r.k for r in sums.total().collect()}
 
 
@@ -106,9 +107,10 @@ def test_five_batches_equal_the_batch_reports(spark, words_and_model, tmp_path,
         write(rows, batch)
         if batch == 2:
             write(rows, batch)
-        runs.publish(spark, out)
         counted.append(spark.read.parquet(f"{out}/labeled").count())
-        check(spark, out)
+        if batch in (1, 4):
+            runs.publish(spark, out)
+            check(spark, out)
     assert counted == sorted(counted) and counted[-1] > 800
     write(posts, 0)  # long settled
     check(spark, out)
