@@ -143,3 +143,28 @@ def test_no_rules_and_no_posts(spark):
     df = spark.createDataFrame([(1, "a", "en")], "arrival_seq long, text string, lang string")
     assert rules.with_rule_tags(df, rules.rule_table(spark, [])).collect()[0].tags == []
     assert rules.with_rule_tags(df.limit(0), rules.rule_table(spark, [("a", "t")])).collect() == []
+
+
+def test_a_shuffled_lookup_carries_words_not_texts(spark):
+    """The size of a rule table is known, and a table too large to be broadcast does not send a text with each word."""
+    table = rules.rule_table(spark, [(f"w{i} -w{i + 1}", f"tag{i}") for i in range(100)] + [("lang:fr", "fr")])
+    assert int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1 << 20
+    posts = [(i, f"w{i % 100} and w{i * 7 % 100}", "fr" if i % 3 else None) for i in range(50)]
+    df = spark.createDataFrame(posts, "arrival_seq long, text string, lang string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    sent = {}
+    for size in (threshold, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        try:
+            tagged = rules.with_rule_tags(df, table)
+            plan = tagged._jdf.queryExecution().executedPlan().toString()
+            sent[size] = {r.arrival_seq: r.tags for r in tagged.collect()}
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert ("Exchange hashpartitioning(word" in plan) == (size == "-1")
+    lookup = next(line for line in plan.split("\n") if "Generate explode(array_distinct" in line)
+    assert re.search(r"\), \[arrival_seq#\d+L\], ", lookup)
+    for i, text, lang in posts:
+        words = set(text.split())
+        expected = [f"tag{n}" for n in range(100) if f"w{n}" in words and f"w{n + 1}" not in words]
+        assert sent[threshold][i] == sent["-1"][i] == expected + (["fr"] if lang else [])
