@@ -177,3 +177,29 @@ def test_lemmas_of_several_steps(spark, steps):
     changed = [w for w in words if plain_lemma(w, nouns, irregular, steps) != w]
     assert len(changed) > 500 and got["a1"] == "b1" and got["b1"] == "a1"
     assert (got.get("busess") == "bus") == (steps > 1)
+
+
+def test_texts_are_prepared_once(spark):
+    """The filter on words does not clean a second time, and lemmas need no second run of what was before them."""
+    df = spark.createDataFrame([("a", "The cats were running to houses"), ("b", "no"), ("c", None)], "tweet_id string, text string")
+    for lemmas in (None, seed_lemmas(spark)):
+        ready = preprocess(df.groupBy("tweet_id").agg(F.max("text").alias("text")), lemmas)
+        plan = ready._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(") == 1
+        assert [r.tweet_id for r in ready.collect()] == ["a"]
+
+
+def test_lemmas_of_rows_that_share_an_id(spark):
+    rows = [("a", ["cats", "x"]), ("a", ["cats"]), (None, ["feet", "cats", "cats"]), (None, []), ("b", None), ("c", [None, "cats"])]
+    df = spark.createDataFrame(rows, "tweet_id string, tokens array<string>")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    table = spark.createDataFrame([("cats", "cat"), ("feet", "foot")], "token string, lemma string")
+    for size in (threshold, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        try:
+            got = [tuple(r) for r in lemmatize(df, table).collect()]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        swap = {"cats": "cat", "feet": "foot"}
+        expected = [(i, None if t is None else [swap.get(w, w) for w in t]) for i, t in rows]
+        assert sorted(map(repr, got)) == sorted(map(repr, expected))
