@@ -204,6 +204,15 @@ def test_metrics_equal_plain_counts(trained):
         assert row.accuracy > 100 * max(sum(a == s for a, _ in rows) for s in SENTIMENTS) / n
 
 
+def test_weights_carry_label_and_split_so_that_training_joins_nothing_by_id(trained):
+    data, _, parts = trained
+    theta = training.naive_bayes_tables(data)[0]
+    plan = theta._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # of the vocabulary and the sums by term
+    for r in data.weighted.select("tweet_id", "sentiment", "split").distinct().collect():
+        assert parts[r.split][r.tweet_id] == r.sentiment
+
+
 def test_the_registered_comparison(spark):
     from moodloom.plans import catalog
 
