@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -108,3 +109,21 @@ def test_csv_keeps_nulls_quotes_and_line_breaks(spark, tmp_path):
     tables.write_csv(df, str(tmp_path / "csv"))
     back = tables.read_csv_back(spark, str(tmp_path / "csv"), df.schema)
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_texts_of_other_languages_stay_behind_at_the_dedup(spark):
+    rows = [
+        (1, "a", "erst", "de"), (2, "a", "then", "en"), (3, "b", "first", None), (4, "b", "puis", "fr"),
+        (5, "c", "RT no", "de"), (6, "c", "one", "en"), (7, "c", "two", "en"), (8, None, "x", "en"), (9, "d", None, "en"),
+    ]
+    df = spark.createDataFrame(
+        [(i, t, "u", x, lang, None, None, datetime(2024, 1, 1)) for i, t, x, lang in rows],
+        "arrival_seq long, tweet_id string, username string, text string, lang string, retweet_count int, "
+        "like_count int, created_at timestamp",
+    )
+    got = ingest.collect_english(df)
+    assert sorted(got.collect()) == sorted(ingest.english(ingest.collect(df)).collect())
+    assert sorted((r.tweet_id, r.text) for r in got.collect()) == [("b", "first"), ("c", "one")]
+    # What the dedup exchanges has a text only where it can be read later.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "= en) THEN text" in re.sub(r"#\d+L?", "", plan)

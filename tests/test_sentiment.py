@@ -129,6 +129,27 @@ def test_random_sentences(spark):
     assert not wrong, wrong[:3]
 
 
+def test_words_by_kind_of_whitespace_and_case(spark):
+    rng = random.Random(9)
+    pool = ["good", "BAD", "But", "BUT", "bUt", "butter", "I", "--", "'no'", "ÉTÉ", "love", "so", "(great)", "x"]
+    gaps = [" ", " ", "  ", "\t", "\n", "\u00a0", "\u3000", "\u2028"]
+    texts = ["".join(rng.choice(pool) + rng.choice(gaps) for _ in range(rng.randint(0, 8))) for _ in range(500)]
+    texts += [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 8))).upper() for _ in range(100)]
+    texts += [" good", "good ", "  ", "GOOD", "GOOD BAD", "GOOD bad"]
+    for text, got in zip(texts, score(spark, texts)):
+        assert got == pytest.approx(brute(text), abs=1.5e-4), text
+
+
+def test_phrases_are_looked_up_as_sets(spark):
+    df = spark.createDataFrame([(w,) for w in ["very", "kind of", "none", None]], "w string")
+    many = {f"w{i}": i / 8 for i in range(s.LOOKUP_SETS + 1)} | {"very": 0.5}
+    for values in (words.BOOSTERS, words.IDIOMS, many, {}):
+        found = s._lookup_in(values)(F.col("w"))
+        assert [r[0] for r in df.select(found).collect()] == [values.get(w) for w in ["very", "kind of", "none", None]]
+    # A map is searched entry by entry.
+    assert "map(keys" not in plan_of(s.sentiment_scores(df, words.seed_lexicon(spark), "w", "w"))
+
+
 def test_label_bounds(spark):
     df = spark.createDataFrame([(0.05,), (0.0499,), (-0.05,), (-0.0499,), (0.0,)], "c double")
     got = [r[0] for r in df.select(s.label(F.col("c"))).collect()]

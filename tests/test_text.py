@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from moodloom.functions import dictionaries as words
 from moodloom.functions import text as tx
 from moodloom.functions.dates import with_time_columns
-from moodloom.operators.preprocess import lemma_table, lemmatize, preprocess, seed_lemmas
+from moodloom.operators.preprocess import lemma_table, lemmatize, long_enough, preprocess, seed_lemmas
 
 
 def apply(spark, function, values):
@@ -203,3 +204,32 @@ def test_lemmas_of_rows_that_share_an_id(spark):
         swap = {"cats": "cat", "feet": "foot"}
         expected = [(i, None if t is None else [swap.get(w, w) for w in t]) for i, t in rows]
         assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
+def _random_texts(n, seed):
+    rng = random.Random(seed)
+    parts = ["the", "word", "WORD", "weather", "sooo", "aaaa", "aaa", "012", "345 6789", "0 123 456 7890", "1234567", "8D", "d'8", "8",
+             "don't", "''", "a_b", "x-y", "é", "漢字", "ﬁne", "tag4", "user12", "@me", "#tag", "&amp;", "&lt;3", "http://a.b/c", "www.x", "ht@x tp",
+             "...", ",", " , ", "  ", "\t", "\u3000", "\n", "😀", "not", "but", "is", "of"]
+    return [rng.choice(["", " "]).join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+def test_short_posts_are_told_without_all_tokens(spark):
+    texts = [*_random_texts(3000, 5), "", None, "the " * 40 + "one two six words", "aaaa " * 3, "x" * 5000, "the of is " * 9]
+    df = spark.createDataFrame(list(enumerate(texts)), "tweet_id int, text string")
+    for stop in (None, ["aaa", "word"]):
+        whole = {(r.tweet_id, r.clean_text) for r in preprocess(df, None, stop).select("tweet_id", "clean_text").collect()}
+        rows = long_enough(df, stop).select("tweet_id", "clean_text").collect()
+        assert {tuple(r) for r in rows} == whole and len(rows) == len(whole)
+    assert 500 < len(whole) < 3000
+
+
+def test_cleaning_skips_no_step(spark):
+    texts = [*_random_texts(3000, 6), None, " ", "a", " a  b ", "&a@b&amp;c", "@http://x", "#www.y z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    text = F.coalesce("t", F.lit(""))
+    for step in (tx.remove_urls, tx.remove_mentions, tx.unwrap_hashtags, tx.blank_entities):
+        text = step(text)
+    text = F.trim(F.regexp_replace(text, tx.NOT_WORD, " "))
+    for r in df.select("t", text.alias("a"), tx.clean_text(F.col("t")).alias("b")).collect():
+        assert r.a == r.b, r.t
